@@ -1,0 +1,222 @@
+"""The incremental run: new and revised documents to all tables.
+
+Documents are parsed once into a staged parquet table, laid out by season;
+everything after reads that table's columns. Only the seasons a batch touches
+are rewritten. The manifest is written last, so a run that dies is simply
+repeated: its documents are still due, and whatever it wrote is replaced.
+"""
+
+from collections.abc import Callable
+from dataclasses import dataclass
+from datetime import datetime, timezone
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from scorebook import operators as ops
+from scorebook.operators.registry import display_names
+from scorebook.schema import DOCUMENT_SCHEMA, columns
+from scorebook.sources.tables import (
+    append_history,
+    clear_manifest,
+    create_tables,
+    read_table,
+    table_path,
+    write_seasons,
+    write_table,
+)
+from scorebook.sources.workspace import new_folder
+
+
+class AuditError(RuntimeError):
+    """The built facts do not reconcile with the deliveries."""
+
+
+@dataclass(frozen=True)
+class BuildResult:
+    """What one run did."""
+
+    seasons: frozenset[str | None]
+    rows: dict[str, int]
+    null_batters: int
+
+
+def build(
+    spark: SparkSession,
+    documents: DataFrame,
+    root: str,
+    ingested_at: datetime | None = None,
+    strict: bool = True,
+) -> BuildResult | None:
+    """Bring the tables under ``root`` up to date; None if nothing is due.
+
+    ``strict`` stops the run before marts and manifest if facts and deliveries
+    differ in number, as they do when a name stands in both squads of a match.
+    """
+    create_tables(spark, root)
+    staging = new_folder(spark, "build")
+    batch = _stage_due(spark, documents, root, staging)
+    if batch is None:
+        return None
+    now = F.lit(ingested_at or datetime.now(timezone.utc))
+    batch_ids = batch.select("match_id")
+    touched = _touched_seasons(spark, root, batch)
+    rows = {}
+
+    def kept(table: str) -> DataFrame:
+        """What the touched seasons hold besides the batch's matches."""
+        present = read_table(spark, root, table, touched, with_season=True)
+        return present.join(batch_ids, "match_id", "left_anti")
+
+    def publish(table: str, df: DataFrame, seasons=touched, rebalance: bool = True):
+        rows[table] = write_seasons(df, root, table, seasons, rebalance)
+
+    # Deliveries and facts come from sources that lie by season already.
+    deliveries = ops.flatten_deliveries(batch, now)
+    publish("bronze", kept("bronze").unionByName(deliveries), rebalance=False)
+    registry = ops.match_player_registry(batch, ("season",))
+    publish("match_player_registry", kept("match_player_registry").unionByName(registry))
+    publish("dim_match", ops.dim_match(read_table(spark, root, "bronze", touched)))
+    facts = ops.fact_from_documents(batch, now, ("season",))
+    publish("fact_delivery", kept("fact_delivery").unionByName(facts), rebalance=False)
+    null_batters = _check(spark, root, touched, strict)
+
+    players = _stage(
+        ops.dim_player(read_table(spark, root, "match_player_registry")), f"{staging}/players"
+    )
+    marted = touched | _renamed_seasons(spark, root, players)
+    _publish_marts(spark, root, players, marted, publish)
+
+    # Written after the marts: a repeated run has to find the old names here.
+    players.write.mode("overwrite").parquet(table_path(root, "dim_player"))
+    publish("manifest", _next_manifest(spark, root, batch, touched, now))
+    return BuildResult(frozenset(marted), rows, null_batters)
+
+
+def archive(spark: SparkSession, root: str, archived_at: datetime | None = None):
+    """Move the manifest to its history, so that every document is due again."""
+    at = F.lit(archived_at or datetime.now(timezone.utc))
+    append_history(ops.archive_manifest(read_table(spark, root, "manifest"), at), root)
+    clear_manifest(spark, root)
+
+
+def _stage(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _stage_due(
+    spark: SparkSession, documents: DataFrame, root: str, staging: str
+) -> DataFrame | None:
+    manifest = read_table(spark, root, "manifest")
+    if not manifest.isEmpty():
+        # Revisions are compared on a projection that leaves the innings out.
+        # The due ids are written so that the next join knows their size.
+        revisions = documents.select("match_id", F.col("meta.revision").alias("revision"))
+        due = _stage(ops.due_documents(revisions, manifest), f"{staging}/due")
+        if due.isEmpty():
+            return None
+        wanted = due.withColumnRenamed("match_id", "due_id")
+        documents = documents.join(
+            wanted,
+            (F.col("match_id") == F.col("due_id"))
+            & F.col("meta.revision").eqNullSafe(F.col("revision")),
+            "left_semi",
+        )
+    write_table(documents.withColumn("season", F.col("info.season")), f"{staging}/documents")
+    schema = f"match_id string, {DOCUMENT_SCHEMA}, season string"
+    batch = spark.read.schema(schema).parquet(f"{staging}/documents")
+    if batch.isEmpty():
+        return None
+    repeated = batch.groupBy("match_id").count().where("count > 1")
+    if not repeated.isEmpty():
+        example = repeated.first()
+        raise ValueError(f"{example['count']} due documents for match {example.match_id}")
+    return batch
+
+
+def _touched_seasons(spark: SparkSession, root: str, batch: DataFrame) -> set[str | None]:
+    """Seasons of the batch, and those where its matches sit so far."""
+    found = [batch.select("season").distinct()]
+    for table in ("manifest", "dim_match", "match_player_registry"):
+        present = read_table(spark, root, table, with_season=True)
+        again = present.select("match_id", "season").join(
+            batch.select("match_id"), "match_id", "left_semi"
+        )
+        found.append(again.select("season").distinct())
+    return _season_names(reduce(DataFrame.union, found))
+
+
+def _renamed_seasons(spark: SparkSession, root: str, players: DataFrame) -> set[str | None]:
+    """Seasons of players whose display name is no longer the published one."""
+    before = display_names(read_table(spark, root, "dim_player")).withColumnRenamed(
+        "display_name", "old_name"
+    )
+    renamed = (
+        display_names(players)
+        .join(before, "player_id")
+        .where(~F.col("display_name").eqNullSafe(F.col("old_name")))
+    )
+    registry = read_table(spark, root, "match_player_registry", with_season=True)
+    return _season_names(
+        registry.select("player_id", "season").join(renamed, "player_id", "left_semi")
+    )
+
+
+def _season_names(rows: DataFrame) -> set[str | None]:
+    # As many rows as there are season partitions.
+    return {row.season for row in rows.select("season").distinct().collect()}
+
+
+def _check(spark: SparkSession, root: str, seasons: set[str | None], strict: bool) -> int:
+    audit = ops.fact_audit(
+        read_table(spark, root, "bronze", seasons),
+        read_table(spark, root, "fact_delivery", seasons),
+    )
+    found = audit.agg(
+        F.count_if(~F.col("reconciled")).alias("differing"),
+        F.min(F.when(~F.col("reconciled"), F.col("match_id"))).alias("example"),
+        F.coalesce(F.sum("null_batters"), F.lit(0)).alias("null_batters"),
+    ).first()
+    if strict and found.differing:
+        raise AuditError(
+            f"facts and deliveries differ in {found.differing} matches, e.g. {found.example}"
+        )
+    return found.null_batters
+
+
+def _publish_marts(
+    spark: SparkSession,
+    root: str,
+    players: DataFrame,
+    seasons: set[str | None],
+    publish: Callable,
+):
+    facts = read_table(spark, root, "fact_delivery", seasons)
+    matches = read_table(spark, root, "dim_match", seasons)
+    registry = read_table(spark, root, "match_player_registry", seasons)
+    season_of = matches.select("match_id", "season").distinct()
+
+    for table, card in {
+        "batting_scorecard": ops.batting_scorecard(facts, players),
+        "bowling_scorecard": ops.bowling_scorecard(facts, players),
+        "team_match_summary": ops.team_match_summary(facts, matches),
+    }.items():
+        publish(table, card.join(season_of, "match_id", "left"), seasons)
+    # The season totals read the scorecards back rather than recompute them.
+    batting = read_table(spark, root, "batting_scorecard", seasons)
+    bowling = read_table(spark, root, "bowling_scorecard", seasons)
+    stats = ops.player_season_stats(registry, matches, batting, bowling)
+    publish("player_season_stats", stats, seasons)
+
+
+def _next_manifest(
+    spark: SparkSession, root: str, batch: DataFrame, touched: set[str | None], now: Column
+) -> DataFrame:
+    present = read_table(spark, root, "manifest", touched, with_season=True)
+    ids = batch.select("match_id")
+    others = present.join(ids, "match_id", "left_anti")
+    again = present.join(ids, "match_id", "left_semi").select(*columns("manifest"))
+    updated = ops.upsert_manifest(again, ops.document_manifest(batch, now))
+    return others.unionByName(updated.join(batch.select("match_id", "season"), "match_id"))
