@@ -1,3 +1,3 @@
-from scorebook.plans.build import AuditError, BuildResult, archive, build
+from scorebook.plans.incremental import AuditError, BuildResult, archive, build
 
 __all__ = ["AuditError", "BuildResult", "archive", "build"]

@@ -22,7 +22,7 @@ from scorebook.sources.tables import (
     clear_manifest,
     create_tables,
     read_table,
-    table_path,
+    write_players,
     write_seasons,
     write_table,
 )
@@ -89,7 +89,7 @@ def build(
     _publish_marts(spark, root, players, marted, publish)
 
     # Written after the marts: a repeated run has to find the old names here.
-    players.write.mode("overwrite").parquet(table_path(root, "dim_player"))
+    write_players(players, root)
     publish("manifest", _next_manifest(spark, root, batch, touched, now))
     return BuildResult(frozenset(marted), rows, null_batters)
 

@@ -5,6 +5,7 @@ from scorebook.sources.tables import (
     create_tables,
     read_table,
     register_views,
+    write_players,
     write_seasons,
     write_table,
 )
@@ -20,6 +21,7 @@ __all__ = [
     "read_match_documents",
     "read_table",
     "register_views",
+    "write_players",
     "write_seasons",
     "write_table",
 ]

@@ -9,7 +9,7 @@ grows with it.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorebook.schema import TIED, columns
+from scorebook.schema import MATCH_COLUMNS, TIED, columns
 
 EVENTS_PER_MATCH = 250
 SQUAD_SIZE = 11
@@ -99,15 +99,11 @@ def _balls(events: DataFrame) -> DataFrame:
             "extras_wides": F.when((kind == "error") & (k % 2 == 0), k % 3 + 1),
             "extras_noballs": F.when((kind == "error") & (k % 2 == 1), F.lit(1).cast("bigint")),
             "extras_byes": F.when((kind == "view") & (k < 10), F.lit(1).cast("bigint")),
-            "extras_legbyes": F.when(
-                (kind == "view") & k.between(10, 19), F.lit(1).cast("bigint")
-            ),
+            "extras_legbyes": F.when((kind == "view") & k.between(10, 19), F.lit(1).cast("bigint")),
             "dismissal_kind": F.when(
                 (kind == "signup") & (k < 30),
                 F.element_at(
-                    F.array(
-                        *map(F.lit, ("caught", "bowled", "run out", "retired hurt", "lbw"))
-                    ),
+                    F.array(*map(F.lit, ("caught", "bowled", "run out", "retired hurt", "lbw"))),
                     (k % 5 + 1).cast("int"),
                 ),
             ),
@@ -133,10 +129,7 @@ def _balls(events: DataFrame) -> DataFrame:
 
 def _ball_columns() -> dict[str, Column]:
     extras = sum(
-        (
-            F.coalesce(F.col(f"extras_{kind}"), F.lit(0))
-            for kind in ("noballs", "byes", "legbyes")
-        ),
+        (F.coalesce(F.col(f"extras_{c}"), F.lit(0)) for c in ("noballs", "byes", "legbyes")),
         F.coalesce(F.col("extras_wides"), F.lit(0)),
     )
     return {
@@ -168,7 +161,9 @@ def deliveries_from_events(
         ),
         "ingested_at": ingested_at,
     }
-    return _balls(events).select(*(derived.get(c, F.col(c)).alias(c) for c in columns("bronze")), *carry)
+    return _balls(events).select(
+        *(derived.get(c, F.col(c)).alias(c) for c in columns("bronze")), *carry
+    )
 
 
 def facts_from_events(events: DataFrame, ingested_at: Column) -> DataFrame:
@@ -216,13 +211,60 @@ def matches_from_events(events: DataFrame) -> DataFrame:
     return _match_numbers(events).select(*(derived[c].alias(c) for c in columns("dim_match")))
 
 
+def revisions_from_events(events: DataFrame, ingested_at: Column) -> DataFrame:
+    """Manifest rows of all documents as they arrive."""
+    no = F.col("match_no")
+    match = _match_columns(no)
+    return _match_numbers(events).select(
+        match["match_id"].alias("match_id"),
+        (no % 3 + 1).alias("revision"),
+        match["meta_created"].alias("created"),
+        match["meta_version"].alias("data_version"),
+        ingested_at.alias("ingested_at"),
+    )
+
+
+def known_revisions_from_events(events: DataFrame, ingested_at: Column) -> DataFrame:
+    """A manifest that lacks every fifth match and holds mixed revisions of the others."""
+    no = F.col("match_no")
+    return (
+        _match_numbers(events)
+        .where(no % 5 != 4)
+        .select(
+            _match_columns(no)["match_id"].alias("match_id"),
+            (no % 4).alias("revision"),
+            F.lit("2007-12-31").alias("created"),
+            F.lit("1.0.0").alias("data_version"),
+            ingested_at.alias("ingested_at"),
+        )
+    )
+
+
+def superseded_deliveries(deliveries: DataFrame) -> DataFrame:
+    """An earlier delivery of the same documents, for runs in two batches.
+
+    Every fourth match has not arrived yet. Another fourth came in a lower
+    revision, without batter's runs, and half of those under another season,
+    which the final revision leaves empty. Expects ``match_no`` and ``revision``.
+    """
+    no = F.col("match_no")
+    outdated = no % 4 == 1
+    return deliveries.where(no % 4 != 3).withColumns(
+        {
+            "revision": F.col("revision") - outdated.cast("bigint"),
+            "runs_batter": F.when(outdated, F.lit(0)).otherwise(F.col("runs_batter")),
+            "season": F.when(no % 8 == 1, "2008").otherwise(F.col("season")),
+        }
+    )
+
+
 def document_texts(balls: DataFrame) -> DataFrame:
-    """Match documents as JSON text, nested from bronze rows.
+    """Match documents as JSON text with their id, nested from bronze rows.
 
     Expects ``match_no`` and ``revision`` beside the bronze columns. Each match
     is collected, which its 250 events bound.
     """
-    match = [c for c in columns("bronze") if c in _match_columns(F.lit(0))]
+    match = ["meta_version", "meta_created", *MATCH_COLUMNS]
     ball = F.struct(
         "batter",
         "bowler",
@@ -261,9 +303,7 @@ def document_texts(balls: DataFrame) -> DataFrame:
             ),
         )
     )
-    over = F.struct(
-        F.col("over_number").alias("over"), F.col("balls.ball").alias("deliveries")
-    )
+    over = F.struct(F.col("over_number").alias("over"), F.col("balls.ball").alias("deliveries"))
     innings = overs.groupBy("match_id", "innings_number").agg(
         F.any_value("match").alias("match"),
         F.any_value("team").alias("team"),
@@ -297,7 +337,9 @@ def _document(matches: DataFrame) -> list[Column]:
 
     win = F.col("win_type")
     meta = F.struct(
-        F.col("meta_version").alias("data_version"), F.col("meta_created").alias("created"), "revision"
+        F.col("meta_version").alias("data_version"),
+        F.col("meta_created").alias("created"),
+        "revision",
     )
     outcome = F.struct(
         F.col("match_winner").alias("winner"),
@@ -329,8 +371,5 @@ def _document(matches: DataFrame) -> list[Column]:
         ).alias("registry"),
         F.create_map("team_1", names(home), "team_2", names(away)).alias("players"),
     )
-    innings = F.transform(
-        "innings", lambda i: F.struct(i["team"].alias("team"), i["super_over"].alias("super_over"),
-                                      i["overs"].alias("overs"))
-    )
-    return [meta.alias("meta"), info.alias("info"), innings.alias("innings")]
+    innings = F.transform("innings", lambda inning: inning.dropFields("innings_number"))
+    return [F.col("match_id"), meta.alias("meta"), info.alias("info"), innings.alias("innings")]

@@ -47,13 +47,20 @@ def _season_field(table: str) -> list[str]:
     return [] if table in _UNPARTITIONED or "season" in TABLES[table] else ["season string"]
 
 
+def _no_rows(spark: SparkSession, fields: dict[str, str]) -> DataFrame:
+    return spark.range(0).select(
+        *(F.lit(None).cast(kind).alias(name) for name, kind in fields.items())
+    )
+
+
 def create_tables(spark: SparkSession, root: str):
     """Lay down an empty table wherever there is none yet."""
-    for table in TABLES:
-        writer = spark.createDataFrame([], ddl(table, *_season_field(table))).write.mode("ignore")
-        if table not in _UNPARTITIONED:
-            writer = writer.partitionBy("season")
-        writer.parquet(table_path(root, table))
+    for table, fields in TABLES.items():
+        if table in _UNPARTITIONED:
+            writer = _no_rows(spark, fields).write
+        else:
+            writer = _no_rows(spark, {**fields, "season": "string"}).write.partitionBy("season")
+        writer.mode("ignore").parquet(table_path(root, table))
 
 
 def read_table(
@@ -121,9 +128,9 @@ def write_seasons(
 def _clear_seasons(spark: SparkSession, root: str, table: str, seasons: set[str | None]):
     if not seasons:
         return
-    schema = ", ".join(f"{n} {kind}" for n, kind in TABLES[table].items() if n != "season")
+    fields = {name: kind for name, kind in TABLES[table].items() if name != "season"}
     partitions = (
-        spark.read.schema(f"{schema}, season string")
+        spark.read.schema(ddl(table, *_season_field(table)))
         .parquet(table_path(root, table))
         .where(season_in(seasons))
         .select(F.regexp_extract("_metadata.file_path", "^(.*)/[^/]+$", 1).alias("folder"))
@@ -131,8 +138,14 @@ def _clear_seasons(spark: SparkSession, root: str, table: str, seasons: set[str
     )
     # One row per emptied season, not per match or delivery.
     for partition in partitions.collect():
-        empty = spark.createDataFrame([], schema)
-        empty.write.mode("overwrite").parquet(unquote(partition.folder))
+        _no_rows(spark, fields).write.mode("overwrite").parquet(unquote(partition.folder))
+
+
+def write_players(players: DataFrame, root: str):
+    """Replace the player dimension, the one table that spans all seasons."""
+    players.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+        table_path(root, "dim_player")
+    )
 
 
 def append_history(history: DataFrame, root: str):
@@ -141,7 +154,7 @@ def append_history(history: DataFrame, root: str):
 
 def clear_manifest(spark: SparkSession, root: str):
     (
-        spark.createDataFrame([], ddl("manifest", "season string"))
+        _no_rows(spark, {**TABLES["manifest"], "season": "string"})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy("season")

@@ -2,5 +2,5 @@
 
 New and revised documents are found by revision (``operators.manifest``). A
 file stream would never re-read a document rewritten under the same name, so
-the incremental run in ``plans.build`` is a batch job.
+the incremental run in ``plans.incremental`` is a batch job.
 """
