@@ -26,21 +26,35 @@ def batting_scorecard(fact: DataFrame, players: DataFrame, ordered: bool = False
     appearance counts six balls to every over, so a long over can tie with the
     next one.
     """
+    innings = ["match_id", "innings_number"]
+    batter = [*innings, "player_id_batter", "batting_team", "bowling_team"]
     faced = F.col("extras_wides").isNull()
     scored = F.col("runs_batter")
-    figures = fact.groupBy(
-        "match_id", "innings_number", "player_id_batter", "batting_team", "bowling_team"
-    ).agg(
+    wicket = F.when(F.col("is_wicket") == 1, F.col("dismissal_kind"))
+    # A maximum of text cannot be hash-aggregated and would sort every ball. So
+    # the kind is a grouping key first, and its maximum is taken over the one or
+    # two rows per batter that are left, already placed for the window below.
+    by_kind = fact.groupBy(*batter, wicket.alias("dismissal_kind")).agg(
         F.min(F.col("over_number") * BALLS_PER_OVER + F.col("delivery_index")).alias("first_ball"),
         F.sum(scored).alias("runs"),
         F.count_if(faced).alias("balls_faced"),
         F.count_if(scored == 4).alias("fours"),
         F.count_if(scored == 6).alias("sixes"),
         F.count_if(faced & (scored == 0)).alias("dot_balls"),
-        (F.max("is_wicket") == 0).alias("survived"),
-        F.max(F.when(F.col("is_wicket") == 1, F.col("dismissal_kind"))).alias("dismissal_kind"),
+        F.max("is_wicket").alias("is_wicket"),
+    )
+    added = ("runs", "balls_faced", "fours", "sixes", "dot_balls")
+    figures = (
+        by_kind.repartition(*innings)
+        .groupBy(*batter)
+        .agg(
+            F.min("first_ball").alias("first_ball"),
+            *(F.sum(c).alias(c) for c in added),
+            (F.max("is_wicket") == 0).alias("survived"),
+            F.max("dismissal_kind").alias("dismissal_kind"),
+        )
     )
-    appearance = Window.partitionBy("match_id", "innings_number").orderBy("first_ball")
+    appearance = Window.partitionBy(*innings).orderBy("first_ball")
     card = (
         figures.withColumn("batting_position", F.rank().over(appearance))
         .withColumn("not_out", F.when(F.col("survived"), 1).otherwise(0))

@@ -1,6 +1,6 @@
 """The silver star: match dimension and delivery facts."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorebook.operators.deliveries import flatten_deliveries
@@ -19,15 +19,12 @@ ROLES = {
 def dim_match(bronze: DataFrame) -> DataFrame:
     """Each combination of match attributes once, with the match's super-over flag.
 
-    Balls are reduced to matches before anything is shuffled; the flag is then
-    taken over the few rows per match, so no task holds a match's balls.
+    Balls are reduced to one row per match before the window over the match
+    sees them, so no task holds a match's balls.
     """
     described = bronze.groupBy(*MATCH_COLUMNS).agg(F.max("is_super_over").alias("super_over"))
-    flags = described.groupBy("match_id").agg(F.max("super_over").alias("has_super_over"))
-    return described.join(
-        flags.withColumnRenamed("match_id", "flagged_match"),
-        F.col("match_id").eqNullSafe(F.col("flagged_match")),
-    ).select(*columns("dim_match"))
+    of_match = Window.partitionBy("match_id")
+    return described.select(*MATCH_COLUMNS, F.max("super_over").over(of_match).alias("has_super_over"))
 
 
 def fact_delivery(bronze: DataFrame, registry: DataFrame) -> DataFrame:
