@@ -27,23 +27,21 @@ def dim_match(bronze: DataFrame) -> DataFrame:
     return described.select(*MATCH_COLUMNS, F.max("super_over").over(of_match).alias("has_super_over"))
 
 
-def fact_delivery(bronze: DataFrame, registry: DataFrame) -> DataFrame:
+def fact_delivery(bronze: DataFrame, registry: DataFrame, by_role: bool = False) -> DataFrame:
     """Balls with the five names replaced by player ids.
 
     An unknown name gives a NULL id, a name found in both squads repeats the
     ball. Joining the balls once per role would shuffle the widest table five
     times, so the distinct line-ups are resolved first: some tens of narrow
-    rows per match, joined back to the balls in one go.
+    rows per match, joined back to the balls in one go. With a registry below
+    Spark's broadcast threshold ``by_role`` does join the balls once per role,
+    which then shuffles nothing.
     """
+    if by_role:
+        return _resolve(bronze, registry).select(*columns("fact_delivery"))
     line_up = ["match_id", *ROLES]
-    resolved = bronze.select(*line_up).distinct()
-    for role, player_id in ROLES.items():
-        named = registry.select(
-            "match_id", F.col("player_name").alias(role), F.col("player_id").alias(player_id)
-        )
-        resolved = resolved.join(named, ["match_id", role], "left")
-
-    balls, ids = bronze.alias("balls"), resolved.alias("ids")
+    balls = bronze.alias("balls")
+    ids = _resolve(bronze.select(*line_up).distinct(), registry).alias("ids")
     same_line_up = [F.col(f"balls.{c}").eqNullSafe(F.col(f"ids.{c}")) for c in line_up]
     from_ids = set(ROLES.values())
     return balls.join(ids, same_line_up).select(
@@ -51,6 +49,16 @@ def fact_delivery(bronze: DataFrame, registry: DataFrame) -> DataFrame:
     )
 
 
+def _resolve(rows: DataFrame, registry: DataFrame) -> DataFrame:
+    """Adds a player id per role, found by match and name."""
+    for role, player_id in ROLES.items():
+        named = registry.select(
+            "match_id", F.col("player_name").alias(role), F.col("player_id").alias(player_id)
+        )
+        rows = rows.join(named, ["match_id", role], "left")
+    return rows
+
+
 def fact_from_documents(
     docs: DataFrame, ingested_at: Column | None = None, carry: tuple[str, ...] = ()
 ) -> DataFrame:
