@@ -9,7 +9,7 @@ repeated: its documents are still due, and whatever it wrote is replaced.
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from scorebook import operators as ops
 from scorebook.operators.registry import display_names
 from scorebook.schema import DOCUMENT_SCHEMA, columns
+from scorebook.sources.jobs import run_together
 from scorebook.sources.tables import (
     append_history,
     clear_manifest,
@@ -74,16 +75,21 @@ def build(
 
     # Deliveries and facts come from sources that lie by season already.
     deliveries = ops.flatten_deliveries(batch, now)
-    publish("bronze", kept("bronze").unionByName(deliveries), rebalance=False)
-    registry = ops.match_player_registry(batch, ("season",))
-    publish("match_player_registry", kept("match_player_registry").unionByName(registry))
-    publish("dim_match", ops.dim_match(read_table(spark, root, "bronze", touched)))
     facts = ops.fact_from_documents(batch, now, ("season",))
-    publish("fact_delivery", kept("fact_delivery").unionByName(facts), rebalance=False)
-    null_batters = _check(spark, root, touched, strict)
-
-    players = _stage(
-        ops.dim_player(read_table(spark, root, "match_player_registry")), f"{staging}/players"
+    registry = ops.match_player_registry(batch, ("season",))
+    run_together(
+        lambda: publish("bronze", kept("bronze").unionByName(deliveries), rebalance=False),
+        lambda: publish("fact_delivery", kept("fact_delivery").unionByName(facts), rebalance=False),
+        lambda: publish(
+            "match_player_registry", kept("match_player_registry").unionByName(registry)
+        ),
+    )
+    null_batters, players, _ = run_together(
+        lambda: _check(spark, root, touched, strict),
+        lambda: _stage(
+            ops.dim_player(read_table(spark, root, "match_player_registry")), f"{staging}/players"
+        ),
+        lambda: publish("dim_match", ops.dim_match(read_table(spark, root, "bronze", touched))),
     )
     marted = touched | _renamed_seasons(spark, root, players)
     _publish_marts(spark, root, players, marted, publish)
@@ -198,12 +204,17 @@ def _publish_marts(
     registry = read_table(spark, root, "match_player_registry", seasons)
     season_of = matches.select("match_id", "season").distinct()
 
-    for table, card in {
+    cards = {
         "batting_scorecard": ops.batting_scorecard(facts, players),
         "bowling_scorecard": ops.bowling_scorecard(facts, players),
         "team_match_summary": ops.team_match_summary(facts, matches),
-    }.items():
-        publish(table, card.join(season_of, "match_id", "left"), seasons)
+    }
+    run_together(
+        *(
+            partial(publish, table, card.join(season_of, "match_id", "left"), seasons)
+            for table, card in cards.items()
+        )
+    )
     # The season totals read the scorecards back rather than recompute them.
     batting = read_table(spark, root, "batting_scorecard", seasons)
     bowling = read_table(spark, root, "bowling_scorecard", seasons)

@@ -6,12 +6,14 @@ the seasons it touches.
 """
 
 from collections.abc import Collection
+from functools import partial
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from scorebook.schema import MARTS, TABLES, columns, ddl
+from scorebook.sources.jobs import run_together
 
 # View names that SQL users of the tables rely on.
 SILVER_VIEWS = {
@@ -55,13 +57,17 @@ def _no_rows(spark: SparkSession, fields: dict[str, str]) -> DataFrame:
 
 def create_tables(spark: SparkSession, root: str):
     """Lay down an empty table wherever there is none yet."""
-    for table, fields in TABLES.items():
+
+    def create(table: str):
         if table in _UNPARTITIONED:
-            writer = _no_rows(spark, fields).write
+            writer = _no_rows(spark, TABLES[table]).write
         else:
-            writer = _no_rows(spark, {**fields, "season": "string"}).write.partitionBy("season")
+            fields = {**TABLES[table], "season": "string"}
+            writer = _no_rows(spark, fields).write.partitionBy("season")
         writer.mode("ignore").parquet(table_path(root, table))
 
+    run_together(*(partial(create, table) for table in TABLES))
+
 
 def read_table(
     spark: SparkSession,
@@ -79,16 +85,17 @@ def read_table(
     return df.select(*columns(table), *(["season"] if with_season and extra else []))
 
 
-def write_table(df: DataFrame, path: str, partition_by: str = "season", rebalance: bool = True):
-    """Replace the partitions that occur in ``df``, leave the others alone.
+def _laid_out(df: DataFrame, partition_by: str, rebalance: bool) -> DataFrame:
+    """Rows gathered by partition value, each value in as many tasks as its size asks for.
 
-    The rebalance sends a partition value to as many tasks as its size asks
-    for: no task per partition, so a season holding a third of the rows is
-    split, and no file per task and season either. Turn it off for input that
-    already comes season by season.
+    That is neither one task per value, so a season holding a third of the rows
+    is split, nor a file per task and value. Not needed for input that already
+    comes value by value.
     """
-    if rebalance:
-        df = df.hint("rebalance", F.col(partition_by))
+    return df.hint("rebalance", F.col(partition_by)) if rebalance else df
+
+
+def _overwrite_partitions(df: DataFrame, path: str, partition_by: str):
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -97,6 +104,11 @@ def write_table(df: DataFrame, path: str, partition_by: str = "season", rebalanc
     )
 
 
+def write_table(df: DataFrame, path: str, partition_by: str = "season", rebalance: bool = True):
+    """Replace the partitions that occur in ``df``, leave the others alone."""
+    _overwrite_partitions(_laid_out(df, partition_by, rebalance), path, partition_by)
+
+
 def write_seasons(
     df: DataFrame,
     root: str,
@@ -110,18 +122,19 @@ def write_seasons(
     files are cleared afterwards. Which seasons were written is observed during
     the write itself, without a second pass.
     """
-    spark = df.sparkSession
-    seen = Observation()
     # An empty name ends up in the same partition as no name.
-    observed = df.withColumn("season", F.nullif("season", F.lit(""))).observe(
+    named = df.withColumn("season", F.nullif("season", F.lit("")))
+    seen = Observation()
+    # Observed after the exchange, which Spark drops if it turns out empty.
+    observed = _laid_out(named, "season", rebalance).observe(
         seen,
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("season").isNull()).alias("unnamed"),
         F.collect_set("season").alias("seasons"),
     )
-    write_table(observed, table_path(root, table), rebalance=rebalance)
+    _overwrite_partitions(observed, table_path(root, table), "season")
     written = set(seen.get["seasons"]) | ({None} if seen.get["unnamed"] else set())
-    _clear_seasons(spark, root, table, set(seasons) - written)
+    _clear_seasons(df.sparkSession, root, table, set(seasons) - written)
     return seen.get["rows"]
 
 

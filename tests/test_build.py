@@ -1,5 +1,6 @@
 """Manifest, stored tables and the incremental run."""
 
+import json
 from datetime import datetime, timezone
 
 import pytest
@@ -15,7 +16,9 @@ MANIFEST = "match_id string, revision bigint, created string, data_version strin
 
 
 def test_due_are_the_unseen_and_the_revised(spark):
-    known = spark.createDataFrame([("same", 2), ("older", 3), ("newer", 1)], "match_id string, revision int")
+    known = spark.createDataFrame(
+        [("same", 2), ("older", 3), ("newer", 1)], "match_id string, revision int"
+    )
     found = spark.createDataFrame(
         [("same", 2), ("older", 2), ("newer", 2), ("unseen", 1), ("unseen too", None)],
         "match_id string, revision int",
@@ -88,7 +91,8 @@ def test_nothing_left_at_all(spark, tmp_path):
 def test_marts_can_be_partitioned_by_another_column(spark, tmp_path):
     df = spark.createDataFrame([("m1", 1), ("m2", 2)], "match_id string, runs int")
     sources.write_table(df, str(tmp_path), partition_by="match_id")
-    sources.write_table(df.where("runs = 2").withColumn("runs", F.lit(3)), str(tmp_path), "match_id")
+    again = df.where("runs = 2").withColumn("runs", F.lit(3))
+    sources.write_table(again, str(tmp_path), "match_id")
     assert rows(spark.read.parquet(str(tmp_path)), "match_id", "runs") == [("m1", 1), ("m2", 3)]
 
 
@@ -168,10 +172,14 @@ def test_nothing_due_leaves_everything_alone(spark, tmp_path):
     assert house.content() == before
 
 
-def test_batches_add_up_to_one_run(spark, tmp_path):
+def test_batches_add_up_to_one_run(spark, tmp_path, monkeypatch):
+    """With a revised match, an emptied season, a new name variant and a lost run."""
+    revised = match(5, season="2017", revision=2, batter="A0")
+    revised["info"]["registry"]["people"]["A0"] = "id-A1"
+    revised["info"]["players"]["A"].append("A0")
     final = {
         "m1": match(3),
-        "m2": match(5, season="2017", revision=2),
+        "m2": revised,
         "m3": match(8, season="2017"),
         "m4": match(1, season="2018"),
     }
@@ -180,22 +188,17 @@ def test_batches_add_up_to_one_run(spark, tmp_path):
 
     house = Warehouse(spark, tmp_path / "parts")
     house.run(m1=final["m1"], m2=match(77, season="2015"))
-    result = house.run(**final)
-    assert result.seasons == {"2015", "2017", "2018"}
-    assert house.content() == whole.content()
-
+    with monkeypatch.context() as broken:
 
-def test_a_new_name_reaches_the_marts_of_other_seasons(spark, tmp_path):
-    first, second = match(3), match(5, season="2017", batter="A0")
-    second["info"]["registry"]["people"]["A0"] = "id-A1"
-    second["info"]["players"]["A"].append("A0")
-    whole = Warehouse(spark, tmp_path / "whole")
-    whole.run(m1=first, m2=second)
+        def fail(*_):
+            raise RuntimeError("lost")
 
-    house = Warehouse(spark, tmp_path / "parts")
-    house.run(m1=first)
-    result = house.run(m1=first, m2=second)
-    assert result.seasons == {"2016", "2017"}
+        broken.setattr("scorebook.plans.incremental._publish_marts", fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            house.run(**final)
+    result = house.run(**final)
+    # 2015 is left empty; in 2016 only a display name changes.
+    assert result.seasons == {"2015", "2016", "2017", "2018"}
     assert house.content() == whole.content()
 
 
@@ -213,25 +216,6 @@ def test_a_failed_audit_stops_before_marts_and_manifest(spark, tmp_path):
     assert len(stored(spark, house.root, "manifest")) == 1
 
 
-def test_a_broken_run_is_repeated_whole(spark, tmp_path, monkeypatch):
-    final = {"m1": match(3), "m2": match(5, revision=2, season="2017")}
-    whole = Warehouse(spark, tmp_path / "whole")
-    whole.run(**final)
-
-    house = Warehouse(spark, tmp_path / "broken")
-    house.run(m2=match(7))
-    with monkeypatch.context() as broken:
-
-        def fail(*_):
-            raise RuntimeError("lost")
-
-        broken.setattr("scorebook.plans.incremental._publish_marts", fail)
-        with pytest.raises(RuntimeError, match="lost"):
-            house.run(**final)
-    house.run(**final)
-    assert house.content() == whole.content()
-
-
 def test_two_documents_for_a_match_are_refused(spark, tmp_path):
     house = Warehouse(spark, tmp_path)
     write(tmp_path / "documents" / "more", m1=match(4))
@@ -258,8 +242,6 @@ def test_archiving_makes_every_document_due_again(spark, tmp_path):
 
 
 def test_json_lines_carry_their_match_id(spark, tmp_path):
-    import json
-
     lines = [json.dumps({"match_id": m, **match(3)}) for m in ("m1", "m2")]
     (tmp_path / "part.json").write_text("\n".join(lines))
     docs = sources.read_document_lines(spark, str(tmp_path))
