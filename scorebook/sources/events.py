@@ -21,8 +21,8 @@ def _text(*parts) -> Column:
 
 def _player_name(team_no: Column, slot: Column, match_no: Column) -> Column:
     """Opening batters go by a second name in every other match."""
-    alias = F.when((slot == 0) & (match_no % 2 == 1), "Alt ").otherwise("")
-    return _text(alias, "P", team_no, "_", slot)
+    prefix = F.when((slot == 0) & (match_no % 2 == 1), "Alt P").otherwise("P")
+    return _text(prefix, team_no, "_", slot)
 
 
 def _player_id(team_no: Column, slot: Column) -> Column:
@@ -33,22 +33,32 @@ def _sides(match_no: Column) -> tuple[Column, Column]:
     return match_no % 10, (match_no + 3) % 10
 
 
-def _match_columns(no: Column) -> dict[str, Column]:
-    home, away = _sides(no)
-    team_1, team_2 = _text("T", home), _text("T", away)
+def _with_teams(rows: DataFrame) -> DataFrame:
+    """Adds what the match columns are built from, as columns to refer to."""
+    home, away = _sides(F.col("match_no"))
+    first_day = F.lit("2008-04-01").cast("date")
+    day = F.date_add(first_day, (F.col("match_no") % 28).cast("int"))
+    return rows.withColumns(
+        {
+            "match_id": _text("m", F.col("match_no")),
+            "team_1": _text("T", home),
+            "team_2": _text("T", away),
+            "match_date": day.cast("string"),
+        }
+    )
+
+
+def _match_columns() -> dict[str, Column]:
+    no, team_1, team_2 = F.col("match_no"), F.col("team_1"), F.col("team_2")
+    home, _ = _sides(no)
     outcome = no % 4
-    date = F.date_add(F.lit("2008-04-01").cast("date"), (no % 28).cast("int")).cast("string")
     return {
         "meta_version": F.lit("1.1.0"),
-        "meta_created": date,
-        "match_id": _text("m", no),
+        "meta_created": F.col("match_date"),
         "season": F.when(no % 3 == 0, "2007/08").when(no % 3 == 1, "2009").otherwise("2010"),
-        "match_date": date,
         "venue": _text("V", no % 7),
         "city": F.when(no % 9 != 8, _text("C", no % 4)),
         "match_number": F.when(no % 20 != 19, no % 60 + 1),
-        "team_1": team_1,
-        "team_2": team_2,
         "toss_winner": F.when(no % 2 == 0, team_1).otherwise(team_2),
         "toss_decision": F.when(no % 5 < 2, "bat").otherwise("field"),
         "match_winner": F.when(outcome == 0, team_1).when(outcome == 1, team_2),
@@ -60,7 +70,7 @@ def _match_columns(no: Column) -> dict[str, Column]:
         "win_margin": F.when(outcome == 0, no % 90 + 5)
         .when(outcome == 1, no % 9 + 1)
         .otherwise(F.lit(0)),
-        "source_file": _text("m", no, ".json"),
+        "source_file": _text(F.col("match_id"), ".json"),
     }
 
 
@@ -75,7 +85,7 @@ def _balls(events: DataFrame) -> DataFrame:
         F.floor(event / EVENTS_PER_MATCH).alias("match_no"),
         (event % EVENTS_PER_MATCH).alias("b"),
         F.floor("value").alias("v"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+        F.regexp_extract("props", '"k": *([0-9]+)', 1).try_cast("bigint").alias("k"),
     )
     super_over = no % 5 == 0
     balls = balls.withColumn(
@@ -132,9 +142,10 @@ def _ball_columns() -> dict[str, Column]:
         (F.coalesce(F.col(f"extras_{c}"), F.lit(0)) for c in ("noballs", "byes", "legbyes")),
         F.coalesce(F.col("extras_wides"), F.lit(0)),
     )
+    odd = F.col("innings_number") % 2 == 1
     return {
-        "batting_team": _text("T", F.col("batting_no")),
-        "bowling_team": _text("T", F.col("fielding_no")),
+        "batting_team": F.when(odd, F.col("team_1")).otherwise(F.col("team_2")),
+        "bowling_team": F.when(odd, F.col("team_2")).otherwise(F.col("team_1")),
         "is_legal_delivery": F.col("extras_wides").isNull() & F.col("extras_noballs").isNull(),
         "runs_extras": extras,
         "runs_total": F.col("runs_batter") + extras,
@@ -150,18 +161,19 @@ def deliveries_from_events(
     no, batting, fielding = F.col("match_no"), F.col("batting_no"), F.col("fielding_no")
     substitute = F.col("k") % 2 == 0
     derived = {
-        **_match_columns(no),
+        **_match_columns(),
         **_ball_columns(),
         "batter": _player_name(batting, F.col("striker"), no),
         "non_striker": _player_name(batting, F.col("partner"), no),
-        "bowler": _player_name(fielding, F.col("bowling_slot"), no),
+        # Bowlers come from the slots that have one name only.
+        "bowler": _text("P", fielding, "_", F.col("bowling_slot")),
         "player_out": _player_name(batting, F.col("out_slot"), no),
         "fielder": F.when(F.col("catcher").isNotNull() & substitute, "Sub Fielder").otherwise(
             _player_name(fielding, F.col("catcher"), no)
         ),
         "ingested_at": ingested_at,
     }
-    return _balls(events).select(
+    return _with_teams(_balls(events)).select(
         *(derived.get(c, F.col(c)).alias(c) for c in columns("bronze")), *carry
     )
 
@@ -170,7 +182,7 @@ def facts_from_events(events: DataFrame, ingested_at: Column) -> DataFrame:
     """The fact table, its player ids worked out in place instead of looked up."""
     no, batting, fielding = F.col("match_no"), F.col("batting_no"), F.col("fielding_no")
     derived = {
-        **_match_columns(no),
+        **_match_columns(),
         **_ball_columns(),
         "player_id_batter": _player_id(batting, F.col("striker")),
         "player_id_non_striker": _player_id(batting, F.col("partner")),
@@ -179,7 +191,7 @@ def facts_from_events(events: DataFrame, ingested_at: Column) -> DataFrame:
         "player_id_fielder": F.when(F.col("k") % 2 == 1, _player_id(fielding, F.col("catcher"))),
         "ingested_at": ingested_at,
     }
-    return _balls(events).select(
+    return _with_teams(_balls(events)).select(
         *(derived.get(c, F.col(c)).alias(c) for c in columns("fact_delivery"))
     )
 
@@ -207,17 +219,18 @@ def registry_from_events(events: DataFrame) -> DataFrame:
 def matches_from_events(events: DataFrame) -> DataFrame:
     """The match dimension."""
     no = F.col("match_no")
-    derived = {**_match_columns(no), "has_super_over": (no % 5 == 0).cast("int")}
-    return _match_numbers(events).select(*(derived[c].alias(c) for c in columns("dim_match")))
+    derived = {**_match_columns(), "has_super_over": (no % 5 == 0).cast("int")}
+    return _with_teams(_match_numbers(events)).select(
+        *(derived.get(c, F.col(c)).alias(c) for c in columns("dim_match"))
+    )
 
 
 def revisions_from_events(events: DataFrame, ingested_at: Column) -> DataFrame:
     """Manifest rows of all documents as they arrive."""
-    no = F.col("match_no")
-    match = _match_columns(no)
-    return _match_numbers(events).select(
-        match["match_id"].alias("match_id"),
-        (no % 3 + 1).alias("revision"),
+    match = _match_columns()
+    return _with_teams(_match_numbers(events)).select(
+        "match_id",
+        (F.col("match_no") % 3 + 1).alias("revision"),
         match["meta_created"].alias("created"),
         match["meta_version"].alias("data_version"),
         ingested_at.alias("ingested_at"),
@@ -231,7 +244,7 @@ def known_revisions_from_events(events: DataFrame, ingested_at: Column) -> DataF
         _match_numbers(events)
         .where(no % 5 != 4)
         .select(
-            _match_columns(no)["match_id"].alias("match_id"),
+            _text("m", no).alias("match_id"),
             (no % 4).alias("revision"),
             F.lit("2007-12-31").alias("created"),
             F.lit("1.0.0").alias("data_version"),
