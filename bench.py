@@ -34,6 +34,9 @@ def main():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        # Spares the driver a stack trace per column expression.
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

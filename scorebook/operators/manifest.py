@@ -45,7 +45,8 @@ def upsert_manifest(manifest: DataFrame, processed: DataFrame) -> DataFrame:
     kept, found = F.col("old").isNotNull(), F.col("new").isNotNull()
 
     def pick(prefer: Column, one: str, other: str, name: str) -> Column:
-        return F.when(prefer, F.col(f"{one}.{name}")).otherwise(F.col(f"{other}.{name}")).alias(name)
+        value = F.when(prefer, F.col(f"{one}.{name}")).otherwise(F.col(f"{other}.{name}"))
+        return value.alias(name)
 
     return old.join(latest, "match_id", "full").select(
         "match_id",

@@ -23,8 +23,8 @@ def dim_match(bronze: DataFrame) -> DataFrame:
     sees them, so no task holds a match's balls.
     """
     described = bronze.groupBy(*MATCH_COLUMNS).agg(F.max("is_super_over").alias("super_over"))
-    of_match = Window.partitionBy("match_id")
-    return described.select(*MATCH_COLUMNS, F.max("super_over").over(of_match).alias("has_super_over"))
+    flag = F.max("super_over").over(Window.partitionBy("match_id"))
+    return described.select(*MATCH_COLUMNS, flag.alias("has_super_over"))
 
 
 def fact_delivery(bronze: DataFrame, registry: DataFrame, by_role: bool = False) -> DataFrame:

@@ -15,6 +15,9 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "2")
         .config("spark.sql.session.timeZone", "UTC")
+        # Spares the driver a stack trace per column expression.
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )
