@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scorebook.llm.line_dedup import LOWER, UPPER, drop_frequent_lines
 from scorebook.llm.mixing import mix
+from scorebook.llm.simhash import simhash_groups
 from scorebook.llm.token_counts import token_counts
 
 
@@ -27,6 +28,11 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash_groups(_documents(spark, sf_dir), shingle=3, bits=3)
+    return groups.select("doc_id", "fingerprint", "component_id")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_frequent_lines(_documents(spark, sf_dir), frequent=10, least=1)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -38,6 +44,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mix_sources": op4_mix_sources,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op8_token_counts": op8_token_counts,
 }
