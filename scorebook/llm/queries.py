@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scorebook.llm.line_dedup import LOWER, UPPER, drop_frequent_lines
 from scorebook.llm.mixing import mix
+from scorebook.llm.quality_rules import quality_rules
 from scorebook.llm.simhash import simhash_groups
 from scorebook.llm.token_counts import token_counts
 
@@ -23,6 +24,11 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = quality_rules(_documents(spark, sf_dir), most_class=0.28, most_word=0.4)
+    return rules.drop("class_distance", "word_distance")
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(_documents(spark, sf_dir), weights=(5.0, 2.0, 1.0), most=3.0)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -43,6 +49,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality_rules": op3_quality_rules,
     "op4_mix_sources": op4_mix_sources,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_line_dedup": op6_line_dedup,
