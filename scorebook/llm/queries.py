@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scorebook.llm import language_id, quality_classifier
 from scorebook.llm.line_dedup import LOWER, UPPER, drop_frequent_lines
 from scorebook.llm.mixing import mix
 from scorebook.llm.quality_rules import quality_rules
@@ -44,16 +45,40 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality_classifier.train(documents, labels, most_rows=20_000, folds=3, held_out=1)
+    held_out = F.coalesce(quality_classifier.fold("doc_id", 3) == 1, F.lit(False))
+    return quality_classifier.score(documents, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_documents(spark, sf_dir), default_vocabulary(), limit=512)
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _documents(spark, sf_dir)
+    model = language_id.train(documents, most_documents=2_000, folds=5, held_out=0)
+    held_out = F.coalesce(quality_classifier.fold("doc_id", 5) == 0, F.lit(False))
+    return language_id.identify(documents, model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_mix_sources": op4_mix_sources,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_line_dedup": op6_line_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_token_counts": op8_token_counts,
+    "op9_language_id": op9_language_id,
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
