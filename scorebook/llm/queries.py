@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorebook.llm import language_id, quality_classifier
+from scorebook.llm.decontamination import contaminated
 from scorebook.llm.line_dedup import LOWER, UPPER, drop_frequent_lines
 from scorebook.llm.mixing import mix
 from scorebook.llm.quality_rules import quality_rules
@@ -71,6 +72,13 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold a benchmark item, with the item."""
+    rows = _documents(spark, sf_dir).select(F.col("doc_id").alias("id"), "text")
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return contaminated(rows, benchmark).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_mix_sources": op4_mix_sources,
@@ -79,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_classifier": op7_quality_classifier,
     "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
+    "op10_decontamination": op10_decontamination,
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
