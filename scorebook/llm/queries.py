@@ -12,6 +12,7 @@ from scorebook.llm.decontamination import contaminated
 from scorebook.llm.line_dedup import LOWER, UPPER, drop_frequent_lines
 from scorebook.llm.mixing import mix
 from scorebook.llm.quality_rules import quality_rules
+from scorebook.llm.secrets import secrets
 from scorebook.llm.simhash import simhash_groups
 from scorebook.llm.token_counts import token_counts
 
@@ -26,6 +27,10 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets(_documents(spark, sf_dir), least=0.5)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = quality_rules(_documents(spark, sf_dir), most_class=0.28, most_word=0.4)
     return rules.drop("class_distance", "word_distance")
@@ -80,6 +85,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_secret_scan": op2_secret_scan,
     "op3_quality_rules": op3_quality_rules,
     "op4_mix_sources": op4_mix_sources,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
