@@ -14,6 +14,7 @@ from scorebook.llm.mixing import mix
 from scorebook.llm.quality_rules import quality_rules
 from scorebook.llm.secrets import secrets
 from scorebook.llm.simhash import simhash_groups
+from scorebook.llm.suffix_dedup import remove_repeats
 from scorebook.llm.token_counts import token_counts
 
 
@@ -27,6 +28,16 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_documents(spark, sf_dir), length=400).select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets(_documents(spark, sf_dir), least=0.5)
 
@@ -85,6 +96,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_secret_scan": op2_secret_scan,
     "op3_quality_rules": op3_quality_rules,
     "op4_mix_sources": op4_mix_sources,
