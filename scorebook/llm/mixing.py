@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorebook.llm.shared import stored, word_count
+from scorebook.llm.shared import fresh, stored, word_count
 
 UNIT = 1 << 52
 #: Right shifts that give the cells: 4096 of them, then 4096 in the one that holds the cut.
@@ -137,33 +137,41 @@ def mix(
     most: float = 3.0,
     id_column: str = "doc_id",
 ) -> DataFrame:
-    """How much of each document the mix takes, one row per row:
-    (id, source, size, source_size, target, copies, taken).
+    """``documents`` with five more columns, underscored if taken: size, source_size, target,
+    copies and taken (words, repeats counted); one row per row.
 
     Null texts have size 0, a null source is a source; sources without words
     have target 0. Repeated rows (same id and text) have the same u and are
-    taken or left together. No rows: no rows. Other columns are ignored.
+    taken or left together. No rows: no rows. Texts do not move: what a source
+    takes is a row per source, joined to the documents as they lie.
     """
+    u, of, *added = fresh(
+        documents, "u", "of", "size", "source_size", "target", "copies", "taken"
+    )
+    size, source_size, target, copies_column, taken = added
+    source = F.col("source").cast("string")
+    measures = {size: word_count(F.col("text")), u: draw(id_column, "text")}
     rows = documents.select(
-        F.col(id_column).alias("id"),
-        F.col("source").cast("string").alias("source"),
-        word_count(F.col("text")).alias("size"),
-        draw(id_column, "text").alias("u"),
+        source.alias("source"), measures[size].alias("size"), measures[u].alias("u")
     )
     rows = stored(rows, "mix-sizes")
     found = copies_by_source(rows, source_targets(rows, weights, most), most)
-    found = found.withColumnRenamed("source", "of")
-    times = copies(F.col("u"), F.col("whole"), F.col("cut"), F.col("extra"))
+    found = stored(found, "mix-sources").select(
+        F.col("source").alias(of),
+        F.struct("source_size", "target", "whole", "cut", "extra").alias(target),
+    )
+    plan = F.col(target)
+    times = copies(F.col(u), plan["whole"], plan["cut"], plan["extra"])
     return (
-        rows.join(found, F.col("source").eqNullSafe(F.col("of")))
-        .withColumn("copies", times)
+        documents.withColumns(measures)
+        .join(found, source.eqNullSafe(F.col(of)))
+        .withColumn(copies_column, times)
         .select(
-            F.col("id").alias(id_column),
-            "source",
-            "size",
-            "source_size",
-            "target",
-            "copies",
-            (F.col("size") * F.col("copies")).alias("taken"),
+            *documents.columns,
+            size,
+            plan["source_size"].alias(source_size),
+            plan["target"].alias(target),
+            copies_column,
+            (F.col(size) * F.col(copies_column)).alias(taken),
         )
     )

@@ -16,12 +16,12 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from scorebook.llm.components import connected_components
-from scorebook.llm.shared import map_arrow, stored
+from scorebook.llm.shared import fresh, map_arrow, row_key, stored
 
 SEED = 42
 #: Fingerprints of a block's value beyond which they are dealt to several tasks.
@@ -48,15 +48,18 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(documents: DataFrame, shingle: int = 3, id_column: str = "doc_id") -> DataFrame:
-    """(id, fingerprint as a signed long), one row per row; null and empty texts give 0."""
+    """(id, row, fingerprint as a signed long), one row per row; null and empty texts give 0."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        found = [fingerprint(text, shingle) for text in batch.column(1).to_pylist()]
+        found = [fingerprint(text, shingle) for text in batch.column(2).to_pylist()]
         signed = np.array(found, np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed)], names=["id", "print"])
+        columns = [batch.column(0), batch.column(1), pa.array(signed)]
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "row", "print"])
 
-    rows = documents.select(F.col(id_column).cast("long").alias("id"), F.col("text"))
-    return map_arrow(rows, run, "id long, print long")
+    rows = documents.select(
+        F.col(id_column).cast("long").alias("id"), row_key(id_column, "text").alias("row"), "text"
+    )
+    return map_arrow(rows, run, "id long, row long, print long")
 
 
 def links(prints: DataFrame, bits: int = 3) -> DataFrame:
@@ -237,30 +240,46 @@ def _union(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
 def simhash_groups(
     documents: DataFrame, shingle: int = 3, bits: int = 3, id_column: str = "doc_id"
 ) -> DataFrame:
-    """(id, fingerprint in hexadecimal, component_id, group_size), one row per row.
+    """(id, fingerprint in hexadecimal, component_id, group_size, row, first_row), one row per row.
 
-    ``component_id`` is the smallest id that is linked, directly or over others.
-    Null and empty texts have fingerprint zero and form groups like any other;
-    null ids are never the smallest unless a group has no other. Repeated rows
-    are copies of each other. Other columns are ignored.
+    ``component_id`` is the smallest id that is linked, directly or over others,
+    and ``first_row`` the key of a row with that id. Null and empty texts have
+    fingerprint zero and form groups like any other; a null id is the smallest
+    only if a group has no other. Repeated rows are copies of each other. Other
+    columns are ignored.
     """
     rows = stored(fingerprints(documents, shingle, id_column), "fingerprints")
-    classes = rows.groupBy("print").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "row")
+    classes = rows.groupBy("print").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n"))
     classes = stored(classes, "fingerprint-classes")
     roots = connected_components(links(classes.select("print"), bits))
     member = classes.join(roots, F.col("print") == F.col("node"), "left").select(
         "print", "first", "n", F.coalesce("root", "print").alias("root")
     )
     member = stored(member, "fingerprint-roots")
-    groups = member.groupBy("root").agg(
-        F.min("first").alias("component_id"), F.sum("n").alias("group_size")
-    )
-    named = member.join(groups, "root").select(
-        F.col("print").alias("of"), "component_id", "group_size"
-    )
+    groups = member.groupBy("root").agg(F.min("first").alias("least"), F.sum("n").alias("group_size"))
+    named = member.join(groups, "root").select(F.col("print").alias("of"), "least", "group_size")
     return rows.join(named, F.col("print") == F.col("of")).select(
         F.col("id").alias(id_column),
         F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"),
-        "component_id",
+        F.col("least.id").alias("component_id"),
         "group_size",
+        "row",
+        F.col("least.row").alias("first_row"),
     )
+
+
+def one_of_each_group(
+    documents: DataFrame, shingle: int = 3, bits: int = 3, id_column: str = "doc_id"
+) -> DataFrame:
+    """The row of smallest id of each group, with all columns; one of equal rows.
+
+    Groups decide by row key, so texts move once, to meet the keys that stay.
+    """
+    key, nth = fresh(documents, "row", "nth")
+    groups = simhash_groups(documents, shingle, bits, id_column)
+    stay = groups.select(F.col("first_row").alias(key)).distinct()
+    kept = documents.withColumn(key, row_key(id_column, "text")).join(stay, key, "left_semi")
+    once = Window.partitionBy(key).orderBy(key)
+    kept = kept.withColumn(nth, F.row_number().over(once)).where(F.col(nth) == 1)
+    return kept.select(*documents.columns)
