@@ -1,0 +1,55 @@
+import random
+
+from scorebook.llm.secrets import CANDIDATE, Document, secrets
+
+from tests.llm.conftest import prose
+
+
+def hexes(r, n):
+    return "".join(r.choices("0123456789abcdef", k=n))
+
+
+def corpus():
+    r = random.Random(4)
+    rows, expected = [], set()
+    for i in range(120):
+        before, after = prose(i, 30), prose(500 + i, 30)
+        kind = i % 6
+        if kind == 0:
+            value = hexes(r, 40)
+            rows.append((i, f'{before} token = "{value}" {after}', "en", "a"))
+        elif kind == 1:
+            value = "AKIA" + "".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=15)) + "7"
+            rows.append((i, f"{before} {value} {after}", "en", "a"))
+        elif kind == 2:
+            value = hexes(r, 18) + "0a"
+            rows.append((i, f"{before} password={value} {after}", "en", "a"))
+        else:
+            value = None
+            junk = (str(r.randint(10**15, 10**16)), f"https://host.example/path/v{i}/page-12345", f"example{i}token1234")
+            rows.append((i, f"{before} {junk[kind - 3]} {after}", "en", "a"))
+        if value:
+            expected.add((i, value))
+    return rows, expected
+
+
+def test_secrets_are_found_and_false_positives_removed(make):
+    rows, expected = corpus()
+    found = secrets(make(rows)).collect()
+    assert {(r["doc_id"], r["value"]) for r in found} == expected
+    texts = {i: t for i, t, *_ in rows}
+    assert all(texts[r["doc_id"]][r["start"] : r["end"]] == r["value"] for r in found)
+
+
+def test_features_see_the_surroundings():
+    text = 'the secret key: "Zx81kQ02mmLp44" and banana banana1banana2banana'
+    spans = [m.span() for m in CANDIDATE.finditer(text)]
+    document = Document(text)
+    first, second = (document.features(*s) for s in spans)
+    assert document.rule(*spans[0], first) == 1
+    assert document.coverage("banana1banana2banana") > 0.8 and document.rule(*spans[1], second) == 0
+
+
+def test_odd_rows(odd, empty):
+    assert {r["doc_id"] for r in secrets(odd).collect()} <= {None, 7, 8, 9}
+    assert secrets(empty).collect() == []
