@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,14 +18,21 @@ SPACE_CLASS = "[\\x20\\x09-\\x0D]"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="scorebook-llm-")
+
+
 def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path in the folder that driver and executors share (``spark.checkpoint.dir``)."""
+    """A fresh path in the folder that driver and executors share (``spark.checkpoint.dir``).
+
+    Where the session names none, a local one gets a folder of this machine.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="scorebook-llm-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _own_folder()
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
