@@ -82,7 +82,7 @@ def _balls(events: DataFrame) -> DataFrame:
         event,
         "user_id",
         kind,
-        F.floor(event / EVENTS_PER_MATCH).alias("match_no"),
+        F.expr(f"event_id div {EVENTS_PER_MATCH}").alias("match_no"),
         (event % EVENTS_PER_MATCH).alias("b"),
         F.floor("value").alias("v"),
         F.regexp_extract("props", '"k": *([0-9]+)', 1).try_cast("bigint").alias("k"),
@@ -138,10 +138,8 @@ def _balls(events: DataFrame) -> DataFrame:
 
 
 def _ball_columns() -> dict[str, Column]:
-    extras = sum(
-        (F.coalesce(F.col(f"extras_{c}"), F.lit(0)) for c in ("noballs", "byes", "legbyes")),
-        F.coalesce(F.col("extras_wides"), F.lit(0)),
-    )
+    kinds = ("extras_wides", "extras_noballs", "extras_byes", "extras_legbyes")
+    extras = sum(F.coalesce(F.col(kind), F.lit(0)) for kind in kinds)
     odd = F.col("innings_number") % 2 == 1
     return {
         "batting_team": F.when(odd, F.col("team_1")).otherwise(F.col("team_2")),
@@ -197,7 +195,7 @@ def facts_from_events(events: DataFrame, ingested_at: Column) -> DataFrame:
 
 
 def _match_numbers(events: DataFrame) -> DataFrame:
-    return events.select(F.floor(F.col("event_id") / EVENTS_PER_MATCH).alias("match_no")).distinct()
+    return events.select(F.expr(f"event_id div {EVENTS_PER_MATCH}").alias("match_no")).distinct()
 
 
 def registry_from_events(events: DataFrame) -> DataFrame:
@@ -238,13 +236,20 @@ def revisions_from_events(events: DataFrame, ingested_at: Column) -> DataFrame:
 
 
 def known_revisions_from_events(events: DataFrame, ingested_at: Column) -> DataFrame:
-    """A manifest that lacks every fifth match and holds mixed revisions of the others."""
+    """A manifest that lacks every fifth match and holds mixed revisions of the others.
+
+    For every third match it also knows an earlier one (``old``) that does not arrive.
+    """
     no = F.col("match_no")
+    ids = F.when(no % 3 == 0, F.array(_text("m", no), _text("old", no))).otherwise(
+        F.array(_text("m", no))
+    )
     return (
         _match_numbers(events)
         .where(no % 5 != 4)
+        .select("match_no", F.explode(ids).alias("match_id"))
         .select(
-            _text("m", no).alias("match_id"),
+            "match_id",
             (no % 4).alias("revision"),
             F.lit("2007-12-31").alias("created"),
             F.lit("1.0.0").alias("data_version"),

@@ -194,9 +194,16 @@ _CTE = {
                '2024-06-02 00:00:00' AS ingested_at
         FROM game""",
     "known": """
-        SELECT match_id, no % 4 AS revision, '2007-12-31' AS created, '1.0.0' AS data_version,
+        SELECT unnest(CASE no % 3 WHEN 0 THEN [match_id, 'old' || no] ELSE [match_id] END) AS match_id,
+               no % 4 AS revision, '2007-12-31' AS created, '1.0.0' AS data_version,
                '2024-06-01 00:00:00' AS ingested_at
         FROM game WHERE no % 5 <> 4""",
+    "flawed": """
+        SELECT match_id, player_name, player_id FROM squad JOIN game USING (match_id)
+        WHERE NOT (suffix(player_id, '_0') AND no % 4 = 1)
+        UNION ALL
+        SELECT match_id, player_name, player_id FROM squad JOIN game USING (match_id)
+        WHERE suffix(player_id, '_2') AND no % 5 = 2""",
 }
 
 _MATCH = """match_id, season, match_date, venue, city, match_number, team_1, team_2, toss_winner,
@@ -223,6 +230,14 @@ def _with_tables(select: str, until: str) -> str:
 
 _SELECTS = {
     "read_match_docs": (
+        """SELECT true AS named_by_file, any_value(no % 3 + 1) AS revision,
+                  any_value(season) AS season, any_value(team_1 || '|' || team_2) AS teams,
+                  count(DISTINCT innings_number) AS innings, count(*) AS deliveries,
+                  23::BIGINT AS people, 22::BIGINT AS squad_members
+           FROM delivery GROUP BY match_id""",
+        "delivery",
+    ),
+    "read_document_lines": (
         """SELECT match_id, any_value(no % 3 + 1) AS revision, any_value(season) AS season,
                   any_value(team_1 || '|' || team_2) AS teams,
                   count(DISTINCT innings_number) AS innings, count(*) AS deliveries,
@@ -244,10 +259,16 @@ _SELECTS = {
         """SELECT match_id, bronze_rows, fact_rows, null_batters,
                   bronze_rows = fact_rows AS reconciled
            FROM (SELECT match_id, count(*) AS bronze_rows FROM delivery GROUP BY match_id)
-           JOIN (SELECT match_id, count(*) AS fact_rows,
-                        count(*) FILTER (player_id_batter IS NULL) AS null_batters
-                 FROM fact GROUP BY match_id) USING (match_id)""",
-        "fact",
+           JOIN (SELECT d.match_id, count(*) AS fact_rows,
+                        count(*) FILTER (s.player_id IS NULL) AS null_batters
+                 FROM delivery d
+                 LEFT JOIN flawed s ON s.match_id = d.match_id AND s.player_name = d.batter
+                 LEFT JOIN flawed b ON b.match_id = d.match_id AND b.player_name = d.bowler
+                 LEFT JOIN flawed n ON n.match_id = d.match_id AND n.player_name = d.non_striker
+                 LEFT JOIN flawed o ON o.match_id = d.match_id AND o.player_name = d.player_out
+                 LEFT JOIN flawed c ON c.match_id = d.match_id AND c.player_name = d.fielder
+                 GROUP BY d.match_id) USING (match_id)""",
+        "flawed",
     ),
     "batting_scorecard": ("SELECT * EXCLUDE (season) FROM batting", "batting"),
     "bowling_scorecard": ("SELECT * EXCLUDE (season) FROM bowling", "bowling"),
@@ -264,7 +285,7 @@ _SELECTS = {
            UNION ALL SELECT 'player_season_stats', count(*) FROM season_stats""",
         "season_stats",
     ),
-    "distinct_win_types": ("SELECT DISTINCT win_type FROM summary", "summary"),
+    "distinct_win_types": ("SELECT DISTINCT win_type FROM game", "game"),
     "distinct_dismissal_kinds": ("SELECT DISTINCT dismissal_kind FROM fact", "fact"),
     "player_season_lookup": (
         "SELECT * FROM season_stats WHERE player_name LIKE '%P1\\_%' ESCAPE '\\' AND season = '2009'",
@@ -278,13 +299,18 @@ _SELECTS = {
         "known",
     ),
     "upsert_manifest": (
-        """SELECT match_id, a.revision, coalesce(k.created, a.created) AS created,
-                  coalesce(k.data_version, a.data_version) AS data_version, a.ingested_at
-           FROM arriving a LEFT JOIN known k USING (match_id)""",
+        """SELECT match_id, greatest(a.revision, k.revision) AS revision,
+                  coalesce(k.created, a.created) AS created,
+                  coalesce(k.data_version, a.data_version) AS data_version,
+                  CASE WHEN k.match_id IS NULL OR a.revision > k.revision
+                       THEN a.ingested_at ELSE k.ingested_at END AS ingested_at
+           FROM arriving a FULL JOIN known k USING (match_id)""",
         "known",
     ),
     "archive_manifest": (
-        "SELECT *, '2024-06-03 00:00:00' AS archived_at FROM known",
+        """SELECT *, '2024-06-03 00:00:00' AS archived_at, 'history' AS place FROM known
+           UNION ALL BY NAME
+           SELECT *, '2024-06-04 00:00:00' AS archived_at, 'history' AS place FROM arriving""",
         "known",
     ),
     "write_bronze_roundtrip": (
@@ -300,6 +326,27 @@ _SELECTS = {
         "fact",
     ),
     "incremental_build": ("SELECT * FROM season_stats", "season_stats"),
+    "incremental_tables": (
+        "\nUNION ALL\n".join(
+            f"""SELECT '{table}' AS table_name, {unit} AS unit, count(*) AS row_count,
+                       CAST(sum({total}) AS BIGINT) AS total
+                FROM {source} GROUP BY {unit}"""
+            for table, source, unit, total in (
+                ("bronze", "delivery", "match_id", "runs_total"),
+                ("fact_delivery", "fact", "match_id", "runs_total"),
+                ("match_player_registry", "squad", "match_id", "1"),
+                ("dim_match", "game", "match_id", "win_margin"),
+                ("batting_scorecard", "batting", "match_id", "runs"),
+                ("bowling_scorecard", "bowling", "match_id", "runs_conceded"),
+                ("team_match_summary", "summary", "match_id", "total_runs"),
+                ("manifest", "arriving", "match_id", "revision"),
+                ("dim_player", "player", "player_id", "length(name_variants) - "
+                 "length(replace(name_variants, '|', '')) + 1"),
+                ("player_season_stats", "season_stats", "player_id", "matches_played"),
+            )
+        ),
+        "arriving",
+    ),
 }
 
 

@@ -19,7 +19,12 @@ from scorebook.operators.season import (
     player_matches,
     player_season_stats,
 )
-from scorebook.operators.star import dim_match, fact_delivery, fact_from_documents
+from scorebook.operators.star import (
+    dim_match,
+    dim_match_from_documents,
+    fact_delivery,
+    fact_from_documents,
+)
 from scorebook.operators.summary import innings_totals, team_match_summary
 
 __all__ = [
@@ -29,6 +34,7 @@ __all__ = [
     "bowling_scorecard",
     "bowling_season_stats",
     "dim_match",
+    "dim_match_from_documents",
     "dim_player",
     "distinct_dismissal_kinds",
     "distinct_win_types",

@@ -17,6 +17,34 @@ def first(values: str | Column) -> Column:
     return F.get(values, F.lit(0))
 
 
+def match_columns() -> dict[str, Column]:
+    """The match's attributes, from its document."""
+    margin = F.col("info.outcome.by")
+    by_runs, by_wickets = margin["runs"], margin["wickets"]
+    won = (
+        F.when(by_runs.isNotNull(), WON_BY_RUNS)
+        .when(by_wickets.isNotNull(), WON_BY_WICKETS)
+        .when(F.col("info.outcome.result") == TIED, TIED)
+        .otherwise(UNKNOWN_RESULT)
+    )
+    return {
+        "match_id": F.col("match_id"),
+        "season": F.col("info.season"),
+        "match_date": first("info.dates"),
+        "venue": F.col("info.venue"),
+        "city": F.col("info.city"),
+        "match_number": F.col("info.event.match_number"),
+        "team_1": first("info.teams"),
+        "team_2": F.get("info.teams", F.lit(1)),
+        "toss_winner": F.col("info.toss.winner"),
+        "toss_decision": F.col("info.toss.decision"),
+        "match_winner": F.col("info.outcome.winner"),
+        "player_of_match": first("info.player_of_match"),
+        "win_type": won,
+        "win_margin": F.coalesce(by_runs, by_wickets, F.lit(0)),
+    }
+
+
 def flatten_deliveries(
     docs: DataFrame, ingested_at: Column | None = None, carry: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -27,29 +55,10 @@ def flatten_deliveries(
     Innings without overs and overs without balls yield no rows. ``carry``
     names further document columns to keep.
     """
-    margin = F.col("info.outcome.by")
-    by_runs, by_wickets = margin["runs"], margin["wickets"]
     matches = docs.select(
         F.col("meta.data_version").alias("meta_version"),
         F.col("meta.created").alias("meta_created"),
-        "match_id",
-        "info.season",
-        first("info.dates").alias("match_date"),
-        "info.venue",
-        "info.city",
-        "info.event.match_number",
-        first("info.teams").alias("team_1"),
-        F.get("info.teams", F.lit(1)).alias("team_2"),
-        F.col("info.toss.winner").alias("toss_winner"),
-        F.col("info.toss.decision").alias("toss_decision"),
-        F.col("info.outcome.winner").alias("match_winner"),
-        first("info.player_of_match").alias("player_of_match"),
-        F.when(by_runs.isNotNull(), WON_BY_RUNS)
-        .when(by_wickets.isNotNull(), WON_BY_WICKETS)
-        .when(F.col("info.outcome.result") == TIED, TIED)
-        .otherwise(UNKNOWN_RESULT)
-        .alias("win_type"),
-        F.coalesce(by_runs, by_wickets, F.lit(0)).alias("win_margin"),
+        *(c.alias(name) for name, c in match_columns().items()),
         *carry,
         F.posexplode("innings").alias("innings_pos", "inning"),
     )

@@ -4,8 +4,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def distinct_win_types(summary: DataFrame) -> DataFrame:
-    return summary.select("win_type").distinct()
+def distinct_win_types(matches: DataFrame) -> DataFrame:
+    return matches.select("win_type").distinct()
 
 
 def distinct_dismissal_kinds(fact: DataFrame) -> DataFrame:

@@ -4,12 +4,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def match_player_registry(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+def match_player_registry(
+    docs: DataFrame, carry: tuple[str, ...] = (), distinct: bool = True
+) -> DataFrame:
     """Squad members per match with their id; officials are in no squad.
 
     Starts from the squads and looks each name up in the document's own
     people, rather than pairing every person with every squad. ``carry`` names
-    further document columns to keep.
+    further document columns to keep. Rows of one document are unique as they
+    are; where a match has one document only, ``distinct=False`` saves a shuffle.
     """
     squads = docs.select(
         "match_id",
@@ -24,17 +27,14 @@ def match_player_registry(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataF
         "team",
         F.explode(F.array_distinct("squad")).alias("player_name"),
     )
-    return (
-        members.select(
-            "match_id",
-            "player_name",
-            F.try_element_at("people", F.col("player_name")).alias("player_id"),
-            "team",
-            *carry,
-        )
-        .where(F.col("player_id").isNotNull())
-        .distinct()
-    )
+    found = members.select(
+        "match_id",
+        "player_name",
+        F.try_element_at("people", F.col("player_name")).alias("player_id"),
+        "team",
+        *carry,
+    ).where(F.col("player_id").isNotNull())
+    return found.distinct() if distinct else found
 
 
 def player_registry(registry: DataFrame) -> DataFrame:

@@ -8,13 +8,16 @@ from scorebook.schema import columns
 
 
 def _with_match_season(rows: DataFrame, matches: DataFrame) -> DataFrame:
+    """Stored tables lie by season and carry it; others get it from the match."""
+    if "season" in rows.columns:
+        return rows
     return rows.join(matches.select("match_id", "season"), "match_id", "left")
 
 
 def player_matches(registry: DataFrame, matches: DataFrame) -> DataFrame:
     """Matches per player and season, for everyone named in a squad."""
     return (
-        _with_match_season(registry.select("match_id", "player_id"), matches)
+        _with_match_season(registry, matches)
         .groupBy("player_id", "season")
         .agg(F.count_distinct("match_id").alias("matches_played"))
     )
@@ -103,9 +106,9 @@ def player_season_stats(
         "economy_rate": rate(F.col("bowl.runs_conceded"), "6.0", F.col("bowl.balls_bowled")),
         "bowling_average": average(F.col("bowl.runs_conceded"), F.col("bowl.wickets")),
     }
-    for name in ("runs", "highest_score", "balls_faced", "fours", "sixes", "not_outs", "fifties"):
+    batted = ("runs", "highest_score", "balls_faced", "fours", "sixes", "not_outs")
+    for name in (*batted, "fifties", "hundreds"):
         derived[name] = F.col(f"bat.{name}")
-    derived["hundreds"] = F.col("bat.hundreds")
     for name in ("runs_conceded", "balls_bowled", "overs_bowled", "wides", "noballs", "wickets"):
         derived[name] = F.col(f"bowl.{name}")
     stats = stats.select(

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorebook.operators.deliveries import flatten_deliveries
+from scorebook.operators.deliveries import flatten_deliveries, match_columns
 from scorebook.schema import MATCH_COLUMNS, columns
 
 # Name column of the ball -> id column of the fact.
@@ -27,36 +27,55 @@ def dim_match(bronze: DataFrame) -> DataFrame:
     return described.select(*MATCH_COLUMNS, flag.alias("has_super_over"))
 
 
-def fact_delivery(bronze: DataFrame, registry: DataFrame, by_role: bool = False) -> DataFrame:
-    """Balls with the five names replaced by player ids.
+def dim_match_from_documents(docs: DataFrame) -> DataFrame:
+    """``dim_match`` of documents that hold a match once: one row for each that has a ball.
 
-    An unknown name gives a NULL id, a name found in both squads repeats the
-    ball. Joining the balls once per role would shuffle the widest table five
-    times, so the distinct line-ups are resolved first: some tens of narrow
-    rows per match, joined back to the balls in one go. With a registry below
-    Spark's broadcast threshold ``by_role`` does join the balls once per role,
-    which then shuffles nothing.
+    Everything lies in the document, so nothing is shuffled and no ball is unnested.
     """
-    if by_role:
-        return _resolve(bronze, registry).select(*columns("fact_delivery"))
-    line_up = ["match_id", *ROLES]
-    balls = bronze.alias("balls")
-    ids = _resolve(bronze.select(*line_up).distinct(), registry).alias("ids")
-    same_line_up = [F.col(f"balls.{c}").eqNullSafe(F.col(f"ids.{c}")) for c in line_up]
-    from_ids = set(ROLES.values())
-    return balls.join(ids, same_line_up).select(
-        *(F.col(f"ids.{c}" if c in from_ids else f"balls.{c}") for c in columns("fact_delivery"))
+    def has_ball(inning: Column) -> Column:
+        balls = F.exists(inning["overs"], lambda over: F.size(over["deliveries"]) > 0)
+        return F.coalesce(balls, F.lit(False))
+
+    played = F.filter("innings", has_ball)
+    super_over = F.exists(played, lambda inning: inning["super_over"].isNotNull())
+    return docs.where(F.size(played) > 0).select(
+        *(c.alias(name) for name, c in match_columns().items()),
+        super_over.cast("int").alias("has_super_over"),
     )
 
 
-def _resolve(rows: DataFrame, registry: DataFrame) -> DataFrame:
-    """Adds a player id per role, found by match and name."""
+def fact_delivery(bronze: DataFrame, registry: DataFrame) -> DataFrame:
+    """Balls with the five names replaced by player ids.
+
+    An unknown name gives a NULL id, a name found in both squads repeats the
+    ball. The registry becomes one map per match, name to ids, which the squads
+    bound; so the balls move once, to their match, and are looked up there.
+    """
+    ids = (
+        registry.where(F.col("player_name").isNotNull())
+        .repartition("match_id")
+        .groupBy("match_id", "player_name")
+        .agg(F.collect_list(F.struct("player_id")).alias("ids"))
+        .groupBy("match_id")
+        .agg(F.map_from_entries(F.collect_list(F.struct("player_name", "ids"))).alias("ids"))
+        .select(F.col("match_id").alias("of_match"), F.col("ids").alias("ids_by_name"))
+    )
+    balls = bronze.join(ids, F.col("match_id") == F.col("of_match"), "left")
+    found = {role: F.try_element_at("ids_by_name", F.col(role)) for role in ROLES}
+    balls = balls.withColumns({f"found_{role}": ids for role, ids in found.items()})
+    sizes = {role: F.greatest(F.coalesce(F.size(f"found_{role}"), F.lit(1)), F.lit(1)) for role in ROLES}
+    copies = F.lit(1)
+    for size in sizes.values():
+        copies = copies * size
+    balls = balls.withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1)))
+    resolved, stride = {}, F.lit(1)
     for role, player_id in ROLES.items():
-        named = registry.select(
-            "match_id", F.col("player_name").alias(role), F.col("player_id").alias(player_id)
-        )
-        rows = rows.join(named, ["match_id", role], "left")
-    return rows
+        at = (F.floor(F.col("copy") / stride) % sizes[role]).cast("int")
+        resolved[player_id] = F.get(f"found_{role}", at)["player_id"]
+        stride = stride * sizes[role]
+    return balls.select(
+        *(resolved.get(c, F.col(c)).alias(c) for c in columns("fact_delivery"))
+    )
 
 
 def fact_from_documents(

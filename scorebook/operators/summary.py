@@ -9,13 +9,8 @@ from scorebook.schema import UNKNOWN_RESULT, columns
 
 def innings_totals(fact: DataFrame) -> DataFrame:
     """Runs, wickets, legal balls and extras per innings; penalty runs are no extras here."""
-    extras = sum(
-        (
-            F.coalesce(F.col(kind), F.lit(0))
-            for kind in ("extras_noballs", "extras_byes", "extras_legbyes")
-        ),
-        F.coalesce(F.col("extras_wides"), F.lit(0)),
-    )
+    kinds = ("extras_wides", "extras_noballs", "extras_byes", "extras_legbyes")
+    extras = sum(F.coalesce(F.col(kind), F.lit(0)) for kind in kinds)
     return fact.groupBy("match_id", "innings_number", "batting_team", "bowling_team").agg(
         F.sum("runs_total").alias("total_runs"),
         F.count_if(F.col("is_wicket") == 1).alias("total_wickets"),

@@ -1,3 +1,3 @@
-from scorebook.plans.incremental import AuditError, BuildResult, archive, build
+from scorebook.plans.incremental import BuildResult, archive, build, build_folder
 
-__all__ = ["AuditError", "BuildResult", "archive", "build"]
+__all__ = ["BuildResult", "archive", "build", "build_folder"]

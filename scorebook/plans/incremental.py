@@ -1,46 +1,78 @@
 """The incremental run: new and revised documents to all tables.
 
-Documents are parsed once into a staged parquet table, laid out by season;
-everything after reads that table's columns. Only the seasons a batch touches
-are rewritten. The manifest is written last, so a run that dies is simply
-repeated: its documents are still due, and whatever it wrote is replaced.
+A run costs what its batch costs. Due documents are parsed once into a staged
+table; bronze, facts, registry, matches and scorecards are built for the
+batch's matches alone and stored beside the earlier ones; only season totals
+are rebuilt for the seasons the batch touches, from stored scorecards. All of
+it becomes visible with one log entry (see ``scorebook.sources.store``), so a
+run that is lost is simply repeated.
+
+Documents that cannot be used are kept out of the tables and listed, with the
+reason, in ``quarantine``; the others go on.
 """
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import partial, reduce
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorebook import operators as ops
 from scorebook.operators.registry import display_names
-from scorebook.schema import DOCUMENT_SCHEMA, columns
+from scorebook.schema import DOCUMENT_SCHEMA
+from scorebook.sources.documents import CORRUPT, list_documents, read_match_documents
 from scorebook.sources.jobs import run_together
-from scorebook.sources.tables import (
-    append_history,
-    clear_manifest,
-    create_tables,
-    read_table,
-    write_players,
-    write_seasons,
-    write_table,
-)
-from scorebook.sources.workspace import new_folder
-
+from scorebook.sources.store import Store
 
-class AuditError(RuntimeError):
-    """The built facts do not reconcile with the deliveries."""
+MALFORMED, REPEATED, UNRECONCILED = "malformed", "repeated in the batch", "unreconciled"
+#: Paths handed to one read; the driver never holds more of them.
+FILES_AT_ONCE = 10_000
 
 
 @dataclass(frozen=True)
 class BuildResult:
-    """What one run did."""
+    """What one run did; ``quarantined`` counts documents by reason."""
 
     seasons: frozenset[str | None]
     rows: dict[str, int]
     null_batters: int
+    quarantined: dict[str, int] = field(default_factory=dict)
+
+
+def build_folder(
+    spark: SparkSession, folder: str, root: str, ingested_at: datetime | None = None
+) -> BuildResult | None:
+    """Bring the tables under ``root`` up to date with the documents in ``folder``.
+
+    Files are listed without being opened. Those whose path, time and length
+    are known from an earlier run are left alone; the others are parsed, once.
+    """
+    store = Store(spark, root)
+    known = store.read("files")
+    due = _stage(
+        list_documents(spark, folder).join(known, ["path", "modified", "length"], "left_anti"),
+        store.staging("files"),
+    )
+    target = store.staging("parsed")
+    mode = "overwrite"
+    for paths in _chunks(due.select("path").toLocalIterator(), FILES_AT_ONCE):
+        read_match_documents(spark, paths).write.mode(mode).parquet(target)
+        mode = "append"
+    if mode == "overwrite":
+        store.remove(f"{store.root}/staging")
+        return None
+    schema = f"match_id string, {DOCUMENT_SCHEMA}, {CORRUPT} string"
+    return build(spark, spark.read.schema(schema).parquet(target), root, ingested_at, due)
+
+
+def _chunks(rows: Iterator, size: int) -> Iterator[list[str]]:
+    while chunk := [row.path for row in islice(rows, size)]:
+        yield chunk
 
 
 def build(
@@ -48,186 +80,221 @@ def build(
     documents: DataFrame,
     root: str,
     ingested_at: datetime | None = None,
-    strict: bool = True,
+    files: DataFrame | None = None,
 ) -> BuildResult | None:
-    """Bring the tables under ``root`` up to date; None if nothing is due.
+    """Bring the tables under ``root`` up to date; None if no document is due.
 
-    ``strict`` stops the run before marts and manifest if facts and deliveries
-    differ in number, as they do when a name stands in both squads of a match.
+    ``documents`` are read once. Hand in what has arrived since the last run:
+    what is known in the same or a greater revision is left out here, but only
+    after it has been read. ``files`` (path, modified, length) are recorded as seen.
     """
-    create_tables(spark, root)
-    staging = new_folder(spark, "build")
-    batch = _stage_due(spark, documents, root, staging)
-    if batch is None:
-        return None
+    store = Store(spark, root)
+    store.begin()
     now = F.lit(ingested_at or datetime.now(timezone.utc))
-    batch_ids = batch.select("match_id")
-    touched = _touched_seasons(spark, root, batch)
-    rows = {}
-
-    def kept(table: str) -> DataFrame:
-        """What the touched seasons hold besides the batch's matches."""
-        present = read_table(spark, root, table, touched, with_season=True)
-        return present.join(batch_ids, "match_id", "left_anti")
-
-    def publish(table: str, df: DataFrame, seasons=touched, rebalance: bool = True):
-        rows[table] = write_seasons(df, root, table, seasons, rebalance)
-
-    # Deliveries and facts come from sources that lie by season already.
-    deliveries = ops.flatten_deliveries(batch, now)
-    facts = ops.fact_from_documents(batch, now, ("season",))
-    registry = ops.match_player_registry(batch, ("season",))
-    run_together(
-        lambda: publish("bronze", kept("bronze").unionByName(deliveries), rebalance=False),
-        lambda: publish("fact_delivery", kept("fact_delivery").unionByName(facts), rebalance=False),
-        lambda: publish(
-            "match_player_registry", kept("match_player_registry").unionByName(registry)
-        ),
-    )
-    null_batters, players, _ = run_together(
-        lambda: _check(spark, root, touched, strict),
-        lambda: _stage(
-            ops.dim_player(read_table(spark, root, "match_player_registry")), f"{staging}/players"
-        ),
-        lambda: publish("dim_match", ops.dim_match(read_table(spark, root, "bronze", touched))),
-    )
-    marted = touched | _renamed_seasons(spark, root, players)
-    _publish_marts(spark, root, players, marted, publish)
-
-    # Written after the marts: a repeated run has to find the old names here.
-    write_players(players, root)
-    publish("manifest", _next_manifest(spark, root, batch, touched, now))
-    return BuildResult(frozenset(marted), rows, null_batters)
+    batch, quarantined = _stage_due(store, documents)
+    result = None if batch.isEmpty() else _build(store, batch, now)
+    if result:
+        quarantined = quarantined | result.quarantined
+    if files is not None:
+        store.write("files", files, files.select("path"))
+    if quarantined:
+        listed = spark.read.schema("match_id string, reason string").parquet(
+            f"{store.root}/staging/quarantine/*"
+        )
+        store.write("quarantine", listed.withColumn("ingested_at", now))
+    if result or quarantined or files is not None:
+        store.commit()
+    store.remove(f"{store.root}/staging")
+    if result is None and not quarantined:
+        return None
+    result = result or BuildResult(frozenset(), {}, 0)
+    return BuildResult(result.seasons, result.rows, result.null_batters, quarantined)
 
 
 def archive(spark: SparkSession, root: str, archived_at: datetime | None = None):
-    """Move the manifest to its history, so that every document is due again."""
+    """Move the manifest to its history, so that every document is due again; one commit."""
+    store = Store(spark, root)
+    store.begin()
     at = F.lit(archived_at or datetime.now(timezone.utc))
-    append_history(ops.archive_manifest(read_table(spark, root, "manifest"), at), root)
-    clear_manifest(spark, root)
+    store.write("manifest_history", ops.archive_manifest(store.read("manifest"), at))
+    store.clear("manifest")
+    store.clear("files")
+    store.commit()
 
 
 def _stage(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _stage_due(
-    spark: SparkSession, documents: DataFrame, root: str, staging: str
-) -> DataFrame | None:
-    manifest = read_table(spark, root, "manifest")
-    if not manifest.isEmpty():
-        # Revisions are compared on a projection that leaves the innings out.
-        # The due ids are written so that the next join knows their size.
-        revisions = documents.select("match_id", F.col("meta.revision").alias("revision"))
-        due = _stage(ops.due_documents(revisions, manifest), f"{staging}/due")
-        if due.isEmpty():
-            return None
-        wanted = due.withColumnRenamed("match_id", "due_id")
-        documents = documents.join(
-            wanted,
-            (F.col("match_id") == F.col("due_id"))
-            & F.col("meta.revision").eqNullSafe(F.col("revision")),
-            "left_semi",
-        )
-    write_table(documents.withColumn("season", F.col("info.season")), f"{staging}/documents")
-    schema = f"match_id string, {DOCUMENT_SCHEMA}, season string"
-    batch = spark.read.schema(schema).parquet(f"{staging}/documents")
-    if batch.isEmpty():
-        return None
-    repeated = batch.groupBy("match_id").count().where("count > 1")
-    if not repeated.isEmpty():
-        example = repeated.first()
-        raise ValueError(f"{example['count']} due documents for match {example.match_id}")
-    return batch
-
-
-def _touched_seasons(spark: SparkSession, root: str, batch: DataFrame) -> set[str | None]:
-    """Seasons of the batch, and those where its matches sit so far."""
-    found = [batch.select("season").distinct()]
-    for table in ("manifest", "dim_match", "match_player_registry"):
-        present = read_table(spark, root, table, with_season=True)
-        again = present.select("match_id", "season").join(
-            batch.select("match_id"), "match_id", "left_semi"
-        )
-        found.append(again.select("season").distinct())
-    return _season_names(reduce(DataFrame.union, found))
+def _quarantine(store: Store, rows: DataFrame, reason: str) -> dict[str, int]:
+    listed = _stage(
+        rows.select("match_id", F.lit(reason).alias("reason")),
+        store.staging(f"quarantine/{reason.replace(' ', '-')}"),
+    )
+    found = listed.count()
+    return {reason: found} if found else {}
 
 
-def _renamed_seasons(spark: SparkSession, root: str, players: DataFrame) -> set[str | None]:
-    """Seasons of players whose display name is no longer the published one."""
-    before = display_names(read_table(spark, root, "dim_player")).withColumnRenamed(
-        "display_name", "old_name"
+def _stage_due(store: Store, documents: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """The due documents, each match once, and what is wrong with others.
+
+    The documents pass once: the manifest is joined to them as they are read,
+    and what is due is written. The number given to each row tells documents
+    of one match apart without touching their content again.
+    """
+    corrupt = F.col(CORRUPT) if CORRUPT in documents.columns else F.lit(None).cast("string")
+    rows = documents.select(
+        "match_id", "meta", "info", "innings", corrupt.isNotNull().alias("malformed")
     )
-    renamed = (
-        display_names(players)
-        .join(before, "player_id")
-        .where(~F.col("display_name").eqNullSafe(F.col("old_name")))
+    manifest = store.read("manifest").select(
+        F.col("match_id").alias("known_id"), F.col("revision").alias("known_revision")
     )
-    registry = read_table(spark, root, "match_player_registry", with_season=True)
-    return _season_names(
-        registry.select("player_id", "season").join(renamed, "player_id", "left_semi")
+    unseen, newer = F.col("known_id").isNull(), F.col("meta.revision") > F.col("known_revision")
+    due = (
+        rows.join(manifest, F.col("match_id") == F.col("known_id"), "left")
+        .where(F.col("malformed") | unseen | newer)
+        .drop("known_id", "known_revision")
+        .withColumn("season", F.nullif(F.col("info.season"), F.lit("")))
+        .withColumn("document", F.monotonically_increasing_id())
+    )
+    staged = _stage(due, store.staging("documents"))
+    quarantined = _quarantine(store, staged.where("malformed"), MALFORMED)
+    sound = staged.where(~F.col("malformed"))
+    order = F.struct(F.coalesce("meta.revision", F.lit(-1)), "document")
+    best = sound.groupBy("match_id").agg(
+        F.max_by("document", order).alias("document"), F.count(F.lit(1)).alias("n")
+    )
+    best = _stage(best, store.staging("best"))
+    if not best.where("n > 1").isEmpty():
+        losing = sound.select("match_id", "document").join(best, "document", "left_anti")
+        quarantined |= _quarantine(store, losing, REPEATED)
+        sound = sound.join(best.select("document"), "document", "left_semi")
+    return sound.drop("malformed", "document"), quarantined
+
+
+def _build(store: Store, batch: DataFrame, now: Column) -> BuildResult:
+    rows: dict[str, int] = {}
+    # A document may be new to the manifest and still have rows, after an archive.
+    present = reduce(
+        DataFrame.unionByName,
+        (store.read(t).select("match_id") for t in ("manifest", "dim_match", "match_player_registry")),
     )
 
+    def again(batch: DataFrame) -> DataFrame:
+        return batch.select("match_id").join(present, "match_id", "left_semi")
 
-def _season_names(rows: DataFrame) -> set[str | None]:
-    # As many rows as there are season partitions.
-    return {row.season for row in rows.select("season").distinct().collect()}
-
+    def star(batch: DataFrame) -> None:
+        tables = {
+            "bronze": ops.flatten_deliveries(batch, now),
+            "fact_delivery": ops.fact_from_documents(batch, now, ("season",)),
+            "match_player_registry": ops.match_player_registry(batch, ("season",), distinct=False),
+            "dim_match": ops.dim_match_from_documents(batch),
+        }
+        replaced = _stage(again(batch), store.staging("again"))
+        _write_together(store, rows, [(t, df, replaced) for t, df in tables.items()])
 
-def _check(spark: SparkSession, root: str, seasons: set[str | None], strict: bool) -> int:
+    star(batch)
     audit = ops.fact_audit(
-        read_table(spark, root, "bronze", seasons),
-        read_table(spark, root, "fact_delivery", seasons),
+        store.read("bronze", only_run=True).select("match_id"),
+        store.read("fact_delivery", only_run=True).select("match_id", "player_id_batter"),
     )
-    found = audit.agg(
-        F.count_if(~F.col("reconciled")).alias("differing"),
-        F.min(F.when(~F.col("reconciled"), F.col("match_id"))).alias("example"),
-        F.coalesce(F.sum("null_batters"), F.lit(0)).alias("null_batters"),
-    ).first()
-    if strict and found.differing:
-        raise AuditError(
-            f"facts and deliveries differ in {found.differing} matches, e.g. {found.example}"
-        )
-    return found.null_batters
+    audit = _stage(audit, store.staging("audit"))
+    bad = audit.where(~F.col("reconciled"))
+    quarantined = _quarantine(store, bad, UNRECONCILED)
+    if quarantined:  # their documents stay out, the others' tables are written again
+        store.pending = store.current
+        store.begin()
+        batch = batch.join(bad.select("match_id"), "match_id", "left_anti")
+        if batch.isEmpty():
+            return BuildResult(frozenset(), {}, 0, quarantined)
+        star(batch)
+    null_batters = audit.where("reconciled").agg(F.coalesce(F.sum("null_batters"), F.lit(0)))
+    replaced = store.spark.read.schema("match_id string").parquet(store.staging("again"))
+    manifest = store.read("manifest").join(batch.select("match_id"), "match_id", "left_semi")
+    manifest = ops.upsert_manifest(manifest, ops.document_manifest(batch, now))
+    seasons = batch.select("match_id", "season")
+    rows["manifest"] = store.write("manifest", manifest.join(seasons, "match_id"), replaced)
+
+    before = display_names(store.read("dim_player")).withColumnRenamed("display_name", "old")
+    players = ops.dim_player(store.read("match_player_registry", pending=True))
+    rows["dim_player"] = store.write("dim_player", players)
+    players = store.read("dim_player", only_run=True)
+    renamed = display_names(players).join(before, "player_id")
+    renamed = renamed.where(~F.col("display_name").eqNullSafe(F.col("old")))
+    registry = store.read("match_player_registry", with_season=True, pending=True)
+    # Matches whose scorecards show a name that is no longer the player's.
+    renamed = _stage(
+        registry.join(renamed, "player_id", "left_semi")
+        .join(batch.select("match_id"), "match_id", "left_anti")
+        .select("match_id", "season")
+        .distinct(),
+        store.staging("renamed"),
+    )
+    old = store.read("dim_match", with_season=True).select("match_id", "season")
+    old = old.unionByName(store.read("match_player_registry", with_season=True).select("match_id", "season"))
+    touched = _season_names(
+        seasons.select("season"),
+        renamed.select("season"),
+        old.join(batch.select("match_id"), "match_id", "left_semi").select("season"),
+    )
+    _marts(store, players, renamed, replaced, touched, rows)
+    return BuildResult(frozenset(touched), rows, null_batters.first()[0], quarantined)
 
 
-def _publish_marts(
-    spark: SparkSession,
-    root: str,
+def _marts(
+    store: Store,
     players: DataFrame,
-    seasons: set[str | None],
-    publish: Callable,
-):
-    facts = read_table(spark, root, "fact_delivery", seasons)
-    matches = read_table(spark, root, "dim_match", seasons)
-    registry = read_table(spark, root, "match_player_registry", seasons)
-    season_of = matches.select("match_id", "season").distinct()
-
-    cards = {
-        "batting_scorecard": ops.batting_scorecard(facts, players),
-        "bowling_scorecard": ops.bowling_scorecard(facts, players),
-        "team_match_summary": ops.team_match_summary(facts, matches),
-    }
-    run_together(
-        *(
-            partial(publish, table, card.join(season_of, "match_id", "left"), seasons)
-            for table, card in cards.items()
-        )
+    renamed: DataFrame,
+    replaced: DataFrame,
+    touched: set[str | None],
+    rows: dict[str, int],
+) -> None:
+    """Scorecards of the batch's matches and of renamed players', then the seasons' totals."""
+    facts = store.read("fact_delivery", with_season=True, only_run=True)
+    cards = facts
+    if seasons := _season_names(renamed.select("season")):
+        others = store.read("fact_delivery", seasons, with_season=True, pending=True)
+        cards = facts.unionByName(others.join(renamed.select("match_id"), "match_id", "left_semi"))
+        replaced_cards = replaced.unionByName(renamed.select("match_id"))
+    else:
+        replaced_cards = replaced
+    season_of = cards.select("match_id", "season").distinct()
+    matches = store.read("dim_match", only_run=True)
+    summary = ops.team_match_summary(facts, matches)
+    jobs = (
+        ("batting_scorecard", ops.batting_scorecard(cards, players), replaced_cards),
+        ("bowling_scorecard", ops.bowling_scorecard(cards, players), replaced_cards),
+        ("team_match_summary", summary, replaced),
+    )
+    _write_together(
+        store,
+        rows,
+        [(t, card.join(season_of, "match_id", "left"), units) for t, card, units in jobs],
+    )
+
+    def season_rows(table: str) -> DataFrame:
+        return store.read(table, touched, with_season=True, pending=True)
+
+    stats = ops.player_season_stats(
+        season_rows("match_player_registry"),
+        season_rows("dim_match"),
+        season_rows("batting_scorecard"),
+        season_rows("bowling_scorecard"),
     )
-    # The season totals read the scorecards back rather than recompute them.
-    batting = read_table(spark, root, "batting_scorecard", seasons)
-    bowling = read_table(spark, root, "bowling_scorecard", seasons)
-    stats = ops.player_season_stats(registry, matches, batting, bowling)
-    publish("player_season_stats", stats, seasons)
-
-
-def _next_manifest(
-    spark: SparkSession, root: str, batch: DataFrame, touched: set[str | None], now: Column
-) -> DataFrame:
-    present = read_table(spark, root, "manifest", touched, with_season=True)
-    ids = batch.select("match_id")
-    others = present.join(ids, "match_id", "left_anti")
-    again = present.join(ids, "match_id", "left_semi").select(*columns("manifest"))
-    updated = ops.upsert_manifest(again, ops.document_manifest(batch, now))
-    return others.unionByName(updated.join(batch.select("match_id", "season"), "match_id"))
+    units = store.spark.createDataFrame([(s,) for s in touched], "season string")
+    rows["player_season_stats"] = store.write("player_season_stats", stats, units)
+
+
+def _write_together(store: Store, rows: dict[str, int], jobs: list) -> None:
+    """Independent tables side by side; what they add to the run is noted afterwards."""
+    counts = run_together(*(partial(store.save, *job) for job in jobs))
+    for (table, _, replaces), count in zip(jobs, counts, strict=True):
+        rows[table] = count
+        store.note(table, count, replaces is not None)
+
+
+def _season_names(*rows: DataFrame) -> set[str | None]:
+    # As many rows as there are season partitions.
+    found = reduce(DataFrame.union, rows).distinct().collect()
+    return {row.season for row in found}

@@ -219,6 +219,9 @@ TABLES = {
         "ingested_at": "timestamp",
     },
 }
+# What the incremental run has seen: document files, and documents it could not use.
+TABLES["files"] = {"path": "string", "modified": "timestamp", "length": "bigint"}
+TABLES["quarantine"] = {"match_id": "string", "reason": "string", "ingested_at": "timestamp"}
 TABLES["manifest_history"] = {**TABLES["manifest"], "archived_at": "timestamp"}
 
 MARTS = (

@@ -1,7 +1,11 @@
-from scorebook.sources.documents import parse_documents, read_document_lines, read_match_documents
+from scorebook.sources.documents import (
+    list_documents,
+    parse_documents,
+    read_document_lines,
+    read_match_documents,
+)
+from scorebook.sources.store import Store
 from scorebook.sources.tables import (
-    append_history,
-    clear_manifest,
     create_tables,
     read_table,
     register_views,
@@ -12,9 +16,9 @@ from scorebook.sources.tables import (
 from scorebook.sources.workspace import new_folder
 
 __all__ = [
-    "append_history",
-    "clear_manifest",
+    "Store",
     "create_tables",
+    "list_documents",
     "new_folder",
     "parse_documents",
     "read_document_lines",

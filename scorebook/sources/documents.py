@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from scorebook.schema import DOCUMENT_SCHEMA
 
+#: Holds the text of a document that does not parse, else NULL.
+CORRUPT = "malformed_text"
+_WITH_CORRUPT = f"{DOCUMENT_SCHEMA}, {CORRUPT} string"
+
 
 def _file_stem(path: Column) -> Column:
     # File paths arrive percent-encoded, but with a literal "+" left alone.
@@ -14,39 +18,45 @@ def _file_stem(path: Column) -> Column:
     return F.url_decode(F.replace(stem, F.lit("+"), F.lit("%2B")))
 
 
-def read_match_documents(
-    spark: SparkSession, paths: str | Sequence[str], modified_after: str | None = None
-) -> DataFrame:
+def list_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, modified, length) of the document files below ``folder``; none is opened."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.json")
+        .option("recursiveFileLookup", True)
+        .load(folder)
+    )
+    return files.select("path", F.col("modificationTime").alias("modified"), "length")
+
+
+def read_match_documents(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Whole-file JSON documents; the file's stem is the match id.
 
     Such a file cannot be split, so it is one unit of work. Where there are
     more files than a driver can list, pack them as JSON lines instead and use
-    ``read_document_lines``. ``modified_after`` skips older files at listing.
+    ``read_document_lines``.
     """
-    reader = (
-        spark.read.schema(DOCUMENT_SCHEMA)
+    docs = (
+        spark.read.schema(_WITH_CORRUPT)
         .option("multiLine", True)
-        .option("mode", "FAILFAST")
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("pathGlobFilter", "*.json")
+        .json(paths if isinstance(paths, str) else list(paths))
     )
-    if modified_after:
-        reader = reader.option("modifiedAfter", modified_after)
-    docs = reader.json(paths if isinstance(paths, str) else list(paths))
-    return docs.select(
-        _file_stem(F.col("_metadata.file_path")).alias("match_id"), "meta", "info", "innings"
-    )
+    stem = _file_stem(F.col("_metadata.file_path")).alias("match_id")
+    return docs.select(stem, "meta", "info", "innings", CORRUPT)
 
 
 def read_document_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """JSON lines, one document per line with its id in ``match_id``."""
     return (
-        spark.read.schema(f"match_id string, {DOCUMENT_SCHEMA}")
-        .option("mode", "FAILFAST")
+        spark.read.schema(f"match_id string, {_WITH_CORRUPT}")
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .json(paths if isinstance(paths, str) else list(paths))
     )
 
 
 def parse_documents(texts: DataFrame, text_column: str = "document") -> DataFrame:
     """Documents held as JSON text beside their ``match_id``."""
-    doc = F.from_json(text_column, DOCUMENT_SCHEMA, {"mode": "FAILFAST"})
+    doc = F.from_json(text_column, _WITH_CORRUPT, {"columnNameOfCorruptRecord": CORRUPT})
     return texts.select("match_id", doc.alias("doc")).select("match_id", "doc.*")

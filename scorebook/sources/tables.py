@@ -1,11 +1,11 @@
 """Parquet tables under one root folder.
 
 Every table that grows with the matches is partitioned by season, also those
-whose own columns have no season: an incremental run reads and replaces only
-the seasons it touches.
+whose own columns have no season. These are plain sinks, replaced by season;
+``scorebook.sources.store`` keeps versions of the same tables for ``build``.
 """
 
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 from functools import partial
 from urllib.parse import unquote
 
@@ -23,18 +23,11 @@ SILVER_VIEWS = {
     "match_player_registry": "match_player_registry",
 }
 
-_FOLDERS = {
-    "bronze": "bronze/deliveries",
-    "manifest": "manifest/current",
-    "manifest_history": "manifest/history",
-    **{name: f"silver/{name}" for name in SILVER_VIEWS.values()},
-    **{name: f"gold/{name}" for name in MARTS},
-}
-_UNPARTITIONED = {"dim_player", "manifest_history"}
+_UNPARTITIONED = {"dim_player", "manifest_history", "files", "quarantine"}
 
 
 def table_path(root: str, table: str) -> str:
-    return f"{root.rstrip('/')}/{_FOLDERS[table]}"
+    return f"{root.rstrip('/')}/{table}"
 
 
 def season_in(seasons: Collection[str | None], column: str = "season") -> Column:
@@ -49,7 +42,7 @@ def _season_field(table: str) -> list[str]:
     return [] if table in _UNPARTITIONED or "season" in TABLES[table] else ["season string"]
 
 
-def _no_rows(spark: SparkSession, fields: dict[str, str]) -> DataFrame:
+def no_rows(spark: SparkSession, fields: dict[str, str]) -> DataFrame:
     return spark.range(0).select(
         *(F.lit(None).cast(kind).alias(name) for name, kind in fields.items())
     )
@@ -60,10 +53,10 @@ def create_tables(spark: SparkSession, root: str):
 
     def create(table: str):
         if table in _UNPARTITIONED:
-            writer = _no_rows(spark, TABLES[table]).write
+            writer = no_rows(spark, TABLES[table]).write
         else:
             fields = {**TABLES[table], "season": "string"}
-            writer = _no_rows(spark, fields).write.partitionBy("season")
+            writer = no_rows(spark, fields).write.partitionBy("season")
         writer.mode("ignore").parquet(table_path(root, table))
 
     run_together(*(partial(create, table) for table in TABLES))
@@ -151,7 +144,7 @@ def _clear_seasons(spark: SparkSession, root: str, table: str, seasons: set[str
     )
     # One row per emptied season, not per match or delivery.
     for partition in partitions.collect():
-        _no_rows(spark, fields).write.mode("overwrite").parquet(unquote(partition.folder))
+        no_rows(spark, fields).write.mode("overwrite").parquet(unquote(partition.folder))
 
 
 def write_players(players: DataFrame, root: str):
@@ -161,21 +154,11 @@ def write_players(players: DataFrame, root: str):
     )
 
 
-def append_history(history: DataFrame, root: str):
-    history.write.mode("append").parquet(table_path(root, "manifest_history"))
-
+def register_views(spark: SparkSession, read: Callable[[str], DataFrame]):
+    """Temporary views over the silver and gold tables, for SQL users.
 
-def clear_manifest(spark: SparkSession, root: str):
-    (
-        _no_rows(spark, {**TABLES["manifest"], "season": "string"})
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("season")
-        .parquet(table_path(root, "manifest"))
-    )
-
-
-def register_views(spark: SparkSession, root: str):
-    """Temporary views over the silver and gold tables, for SQL users."""
+    ``read`` gives a table by name: ``Store(spark, root).read``, or a partial
+    of ``read_table``.
+    """
     for view, table in {**SILVER_VIEWS, **{name: name for name in MARTS}}.items():
-        read_table(spark, root, table).createOrReplaceTempView(view)
+        read(table).createOrReplaceTempView(view)

@@ -1,18 +1,17 @@
 """Folders for intermediate tables that every executor has to reach."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path under ``spark.checkpoint.dir``.
+    """A fresh path under ``spark.checkpoint.dir``, which the session has to name.
 
-    Only a session that names no such folder (tests, local runs) gets one of
-    this machine's.
+    Off ``local`` masters it must not be a folder of one machine, unless the
+    session says so with an explicit ``file:`` address, as for a shared mount.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        shared = tempfile.mkdtemp(prefix="scorebook-")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -1,7 +1,9 @@
 """Manifest, stored tables and the incremental run."""
 
 import json
+import os
 from datetime import datetime, timezone
+from functools import partial
 
 import pytest
 from matches import ball, document, innings, rows, write
@@ -9,8 +11,9 @@ from pyspark.sql import functions as F
 
 from scorebook import operators as ops
 from scorebook import sources
-from scorebook.plans import AuditError, archive, build
+from scorebook.plans import archive, build, build_folder
 from scorebook.schema import TABLES, ddl
+from scorebook.sources.jobs import run_together
 
 MANIFEST = "match_id string, revision bigint, created string, data_version string, ingested_at int"
 
@@ -100,7 +103,7 @@ def test_views_carry_the_tables(spark, tmp_path):
     root = str(tmp_path)
     sources.create_tables(spark, root)
     write_summaries(spark, root, ["x"], summary_row("a", 1, "x"))
-    sources.register_views(spark, root)
+    sources.register_views(spark, partial(sources.read_table, spark, root))
     assert rows(spark.sql("SELECT match_id FROM team_match_summary")) == [("a",)]
     for view in ("fact_del", "dim_match", "dim_player", "match_player_registry"):
         assert spark.table(view).count() == 0
@@ -117,21 +120,23 @@ def match(runs, season="2016", batter="A1", **kwargs):
 
 
 class Warehouse:
+    """Tables built from a folder of documents."""
+
     def __init__(self, spark, folder):
         self.spark, self.folder, self.root = spark, folder, str(folder / "tables")
+        (folder / "documents").mkdir(parents=True)
 
-    def run(self, strict=True, **documents):
+    def run(self, **documents):
         folder = write(self.folder / "documents", **documents)
-        docs = sources.read_match_documents(self.spark, folder)
         at = datetime(2024, 1, 1, tzinfo=timezone.utc)
-        return build(self.spark, docs, self.root, ingested_at=at, strict=strict)
+        return build_folder(self.spark, folder, self.root, ingested_at=at)
+
+    def read(self, table, **kwargs):
+        return sources.Store(self.spark, self.root).read(table, **kwargs)
 
     def content(self):
-        tables = set(TABLES) - {"manifest_history"}
-        return {
-            t: rows(sources.read_table(self.spark, self.root, t, with_season=True))
-            for t in sorted(tables)
-        }
+        tables = set(TABLES) - {"manifest_history", "files"}
+        return {t: rows(self.read(t, with_season=True)) for t in sorted(tables)}
 
 
 def test_first_run_equals_the_plain_builders(spark, tmp_path):
@@ -140,7 +145,7 @@ def test_first_run_equals_the_plain_builders(spark, tmp_path):
     result = house.run(**documents)
     assert result.seasons == {"2016", "2017", None}
     assert result.rows["bronze"] == result.rows["fact_delivery"] == 9
-    assert result.null_batters == 0
+    assert result.null_batters == 0 and result.quarantined == {}
 
     docs = sources.read_match_documents(spark, str(tmp_path / "documents"))
     registry, facts = ops.match_player_registry(docs), ops.fact_from_documents(docs)
@@ -158,9 +163,10 @@ def test_first_run_equals_the_plain_builders(spark, tmp_path):
         "player_season_stats": ops.player_season_stats(registry, matches, batting, bowling),
     }
     for table, df in expected.items():
-        assert stored(spark, house.root, table) == rows(df), table
-    marts = {t: sources.read_table(spark, house.root, t) for t in ("bronze", "dim_match")}
+        assert rows(house.read(table)) == rows(df), table
+    marts = {t: house.read(t) for t in ("bronze", "dim_match")}
     assert rows(ops.mart_row_counts(marts)) == [("bronze", 9), ("dim_match", 3)]
+    assert rows(house.read("bronze", seasons=["2017", None]), "match_id") == [("m2",)] * 3 + [("m3",)] * 3
 
 
 def test_nothing_due_leaves_everything_alone(spark, tmp_path):
@@ -168,12 +174,56 @@ def test_nothing_due_leaves_everything_alone(spark, tmp_path):
     assert house.run() is None
     assert house.run(m1=match(3)).rows["manifest"] == 1
     before = house.content()
-    assert house.run(m1=match(99)) is None
+    assert house.run(m1=match(99)) is None  # another file, but no greater revision
     assert house.content() == before
 
 
+def parsed(monkeypatch):
+    """Collects the paths handed to the reader."""
+    seen = []
+    real = sources.read_match_documents
+
+    def read(spark, paths):
+        seen.extend(p.rsplit("/", 1)[-1] for p in paths)
+        return real(spark, paths)
+
+    monkeypatch.setattr("scorebook.plans.incremental.read_match_documents", read)
+    return seen
+
+
+def test_only_new_files_are_opened(spark, tmp_path, monkeypatch):
+    """Also one with an old time, and in reads of bounded size."""
+    monkeypatch.setattr("scorebook.plans.incremental.FILES_AT_ONCE", 2)
+    house = Warehouse(spark, tmp_path)
+    house.run(**{f"m{i}": match(i) for i in range(5)})
+    seen = parsed(monkeypatch)
+    write(tmp_path / "documents", m9=match(9))
+    os.utime(tmp_path / "documents" / "m9.json", (10**9, 10**9))
+    assert house.run().rows["bronze"] == 3
+    assert house.run() is None
+    assert seen == ["m9.json"]
+    assert len(rows(house.read("manifest"))) == 6
+
+
+def test_a_run_writes_only_its_batch(spark, tmp_path):
+    """No row of an earlier match is written again, but for its season's totals."""
+    house = Warehouse(spark, tmp_path)
+    house.run(**{f"m{i}": match(i) for i in range(5)})
+    result = house.run(m9=match(9), m1=match(7, revision=2))
+    counts = {t: result.rows[t] for t in ("bronze", "fact_delivery", "batting_scorecard", "dim_match")}
+    assert counts == {"bronze": 6, "fact_delivery": 6, "batting_scorecard": 6, "dim_match": 2}
+    assert len(rows(house.read("bronze"))) == 18
+    before = house.content()
+    store = sources.Store(spark, house.root)
+    store.compact()
+    store.vacuum()
+    assert house.content() == before
+    kept = {f.name for f in (tmp_path / "tables" / "bronze").iterdir() if f.is_dir()}
+    assert kept == {"run=3"} and not store.current.replaced["bronze"]
+
+
 def test_batches_add_up_to_one_run(spark, tmp_path, monkeypatch):
-    """With a revised match, an emptied season, a new name variant and a lost run."""
+    """With a revised match, an emptied season, a new name variant and lost runs."""
     revised = match(5, season="2017", revision=2, batter="A0")
     revised["info"]["registry"]["people"]["A0"] = "id-A1"
     revised["info"]["players"]["A"].append("A0")
@@ -188,41 +238,80 @@ def test_batches_add_up_to_one_run(spark, tmp_path, monkeypatch):
 
     house = Warehouse(spark, tmp_path / "parts")
     house.run(m1=final["m1"], m2=match(77, season="2015"))
-    with monkeypatch.context() as broken:
+    before = house.content()
 
-        def fail(*_):
-            raise RuntimeError("lost")
+    def fail(*_, **__):
+        raise RuntimeError("lost")
 
-        broken.setattr("scorebook.plans.incremental._publish_marts", fail)
+    # Wherever a run stops, readers see the state before it, and it can be repeated.
+    real, calls = sources.Store.save, []
+
+    def stops_at(n):
+        def save(self, *args):
+            calls.append(args[0])
+            return fail() if len(calls) > n else real(self, *args)
+
+        return save
+
+    for n in (0, 3, 6, 9):
+        with monkeypatch.context() as broken:
+            calls.clear()
+            broken.setattr(sources.Store, "save", stops_at(n))
+            with pytest.raises(RuntimeError, match="lost"):
+                house.run(**final)
+        assert house.content() == before
+    with monkeypatch.context() as broken:
+        broken.setattr(sources.Store, "commit", fail)
         with pytest.raises(RuntimeError, match="lost"):
             house.run(**final)
+    assert house.content() == before
+
     result = house.run(**final)
     # 2015 is left empty; in 2016 only a display name changes.
     assert result.seasons == {"2015", "2016", "2017", "2018"}
     assert house.content() == whole.content()
+    assert not (tmp_path / "parts" / "tables" / "staging").exists()
 
 
-def test_a_failed_audit_stops_before_marts_and_manifest(spark, tmp_path):
-    doc = match(3, players={"A": ["A1", "A2", "A3", "B1"], "B": ["B1", "B2"]})
+def test_unusable_documents_are_set_aside_and_the_rest_is_built(spark, tmp_path):
+    both = {"A": ["A1", "A2", "A3", "B1"], "B": ["B1", "B2"]}
     house = Warehouse(spark, tmp_path)
-    with pytest.raises(AuditError, match="m1"):
-        house.run(m1=doc)
-    assert stored(spark, house.root, "manifest") == []
-    assert stored(spark, house.root, "batting_scorecard") == []
+    house.run(m1=match(1), m2=match(2))
+    before = rows(house.read("bronze").where("match_id = 'm1'"))
+    write(tmp_path / "documents" / "more", m3=match(4, revision=5))
+    (tmp_path / "documents" / "m5.json").write_text('{"info": {"season": "2016"')
+    result = house.run(
+        m1=match(3, revision=2, players=both), m3=match(3), m4=match(3, players=both), m6=match(6)
+    )
+    assert result.quarantined == {"malformed": 1, "repeated in the batch": 1, "unreconciled": 2}
+    assert rows(house.read("quarantine"), "match_id", "reason") == [
+        ("m1", "unreconciled"),
+        ("m3", "repeated in the batch"),
+        ("m4", "unreconciled"),
+        ("m5", "malformed"),
+    ]
+    assert rows(house.read("bronze").where("match_id = 'm1'")) == before
+    assert rows(house.read("manifest"), "match_id", "revision") == [
+        ("m1", 1), ("m2", 1), ("m3", 5), ("m6", 1)
+    ]
+    assert rows(house.read("batting_scorecard"), "match_id")[-1] == ("m6",)
+
 
-    result = house.run(strict=False, m1=doc)
-    assert result.rows["bronze"] == 3
-    assert result.rows["fact_delivery"] == 6
-    assert len(stored(spark, house.root, "manifest")) == 1
+def test_only_unusable_documents(spark, tmp_path):
+    house = Warehouse(spark, tmp_path)
+    doc = match(3, players={"A": ["A1", "A2", "A3", "B1"], "B": ["B1", "B2"]})
+    assert house.run(m1=doc).quarantined == {"unreconciled": 1}
+    assert rows(house.read("manifest")) == [] and rows(house.read("bronze")) == []
+    assert house.run() is None
 
 
-def test_two_documents_for_a_match_are_refused(spark, tmp_path):
+def test_documents_from_elsewhere(spark, tmp_path):
     house = Warehouse(spark, tmp_path)
-    write(tmp_path / "documents" / "more", m1=match(4))
-    folder = write(tmp_path / "documents", m1=match(3))
-    docs = sources.read_match_documents(spark, [folder, f"{folder}/more"])
-    with pytest.raises(ValueError, match="m1"):
-        build(spark, docs, house.root)
+    folder = write(tmp_path / "documents", m1=match(3), m2=match(5, season=""))
+    docs = sources.read_match_documents(spark, folder)
+    assert build(spark, docs, house.root).seasons == {"2016", None}
+    assert build(spark, docs, house.root) is None
+    assert len(rows(house.read("player_season_stats"))) == 12
 
 
 def test_archiving_makes_every_document_due_again(spark, tmp_path):
@@ -231,24 +320,32 @@ def test_archiving_makes_every_document_due_again(spark, tmp_path):
     before = house.content()
     at = datetime(2024, 2, 1)
     archive(spark, house.root, at)
-    assert stored(spark, house.root, "manifest") == []
-    history = sources.read_table(spark, house.root, "manifest_history")
-    assert rows(history, "match_id", "archived_at") == [("m1", at), ("m2", at)]
-    house.run(m1=match(3), m2=match(5, season="2017"))
+    assert rows(house.read("manifest")) == []
+    assert rows(house.read("manifest_history"), "match_id", "archived_at") == [("m1", at), ("m2", at)]
+    house.run()
     assert house.content() == before
     archive(spark, house.root, at)
-    assert history.count() == 2
-    assert sources.read_table(spark, house.root, "manifest_history").count() == 4
+    assert house.read("manifest_history").count() == 4
 
 
 def test_json_lines_carry_their_match_id(spark, tmp_path):
     lines = [json.dumps({"match_id": m, **match(3)}) for m in ("m1", "m2")]
-    (tmp_path / "part.json").write_text("\n".join(lines))
+    (tmp_path / "part.json").write_text("\n".join([*lines, "{broken"]))
     docs = sources.read_document_lines(spark, str(tmp_path))
-    assert rows(docs, "match_id", "meta.revision") == [("m1", 1), ("m2", 1)]
+    assert rows(docs, "match_id", "meta.revision") == [(None, None), ("m1", 1), ("m2", 1)]
     assert ops.flatten_deliveries(docs).count() == 6
 
 
 def test_shared_folder_is_the_sessions(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert sources.new_folder(spark, "x").startswith(f"{shared}/x-")
+
+
+def test_jobs_side_by_side_keep_local_properties(spark):
+    context = spark.sparkContext
+    context.setLocalProperty("spark.scheduler.pool", "own")
+    try:
+        got = run_together(*[lambda: context.getLocalProperty("spark.scheduler.pool")] * 3)
+    finally:
+        context.setLocalProperty("spark.scheduler.pool", None)
+    assert got == ["own"] * 3

@@ -250,7 +250,7 @@ def test_lookups(built):
         m1=document(innings("A", [ball(wickets=out("A1", "lbw")), ball("A2")])),
         m2=document(innings("A", [ball()]), season="2017", outcome={"result": "tie"}),
     )
-    assert rows(ops.distinct_win_types(tables.summary)) == [("run",), ("tie",)]
+    assert rows(ops.distinct_win_types(tables.matches)) == [("run",), ("tie",)]
     assert rows(ops.distinct_dismissal_kinds(tables.facts)) == [(None,), ("lbw",)]
     found = ops.player_season_lookup(tables.season, "%1", "2016")
     assert rows(found, "player_id", "season") == [("id-A1", "2016"), ("id-B1", "2016")]

@@ -1,17 +1,15 @@
 """Every registered query against its SQL on the smallest data folder."""
 
-import sys
 from pathlib import Path
 
+import duckdb
 import pytest
 
-sys.path.append("/opt/oracle")
-duckdb = pytest.importorskip("duckdb")
-
-import __spark_entry__ as entry  # noqa: E402
+import __spark_entry__ as entry
 
 FOLDER = Path("/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SQL = entry.oracles.oracle_sql()
+QUERIES = {name: query for name, query in entry.queries().items() if name in entry._QUERIES}
 
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="no test data")
 
