@@ -158,8 +158,13 @@ def deliveries_from_events(
     """The bronze table; ``carry`` may add ``match_no``."""
     no, batting, fielding = F.col("match_no"), F.col("batting_no"), F.col("fielding_no")
     substitute = F.col("k") % 2 == 0
+    # The match's columns are worked out once per match. Beside the balls' they would
+    # make one projection that is too long to be compiled.
+    match = _match_columns()
+    matches = _with_teams(_match_numbers(events)).select(
+        "match_no", "match_id", "team_1", "team_2", "match_date", *(c.alias(k) for k, c in match.items())
+    )
     derived = {
-        **_match_columns(),
         **_ball_columns(),
         "batter": _player_name(batting, F.col("striker"), no),
         "non_striker": _player_name(batting, F.col("partner"), no),
@@ -171,7 +176,7 @@ def deliveries_from_events(
         ),
         "ingested_at": ingested_at,
     }
-    return _with_teams(_balls(events)).select(
+    return _balls(events).join(matches, "match_no").select(
         *(derived.get(c, F.col(c)).alias(c) for c in columns("bronze")), *carry
     )
 
