@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from scorebook.schema import TABLES, columns, ddl
 from scorebook.sources.tables import no_rows, season_in
+from scorebook.sources.workspace import file_system, require_shared
 
 #: What a table's rows are replaced by; other tables go by match.
 UNITS = {"player_season_stats": "season", "files": "path"}
@@ -54,9 +55,7 @@ class Store:
     """The tables of one root. ``begin`` starts a run, ``commit`` makes it the current state."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        if not spark.sparkContext.master.startswith("local") and self.root.startswith("file:"):
-            raise ValueError(f"executors do not share the local folder {root}")
+        self.spark, self.root = spark, require_shared(spark, root)
         self.current = self._newest()
         self.pending = self.current
 
@@ -185,5 +184,5 @@ class Store:
         self.remove(f"{self.root}/staging")
 
     def remove(self, folder: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        system, path = file_system(self.spark, folder)
+        system.delete(path, True)

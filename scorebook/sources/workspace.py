@@ -1,17 +1,28 @@
-"""Folders for intermediate tables that every executor has to reach."""
+"""Folders that driver and executors have to share."""
 
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path under ``spark.checkpoint.dir``, which the session has to name.
+def file_system(spark: SparkSession, folder: str):
+    """Hadoop's file system and path of a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def require_shared(spark: SparkSession, folder: str) -> str:
+    """``folder``, unless it lies on one machine's disk while executors run on others."""
+    if not spark.sparkContext.master.startswith("local"):
+        system, _ = file_system(spark, folder)
+        if system.getUri().getScheme() == "file":
+            raise ValueError(f"{folder} is a local folder, which executors do not share")
+    return folder.rstrip("/")
 
-    Off ``local`` masters it must not be a folder of one machine, unless the
-    session says so with an explicit ``file:`` address, as for a shared mount.
-    """
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A fresh path under ``spark.checkpoint.dir``, which the session has to name."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{require_shared(spark, shared)}/{label}-{uuid.uuid4().hex}"

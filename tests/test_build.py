@@ -14,6 +14,7 @@ from scorebook import sources
 from scorebook.plans import archive, build, build_folder
 from scorebook.schema import TABLES, ddl
 from scorebook.sources.jobs import run_together
+from scorebook.sources.workspace import require_shared
 
 MANIFEST = "match_id string, revision bigint, created string, data_version string, ingested_at int"
 
@@ -341,6 +342,16 @@ def test_shared_folder_is_the_sessions(spark):
     assert sources.new_folder(spark, "x").startswith(f"{shared}/x-")
 
 
+def test_a_folder_of_one_machine_is_refused_on_a_cluster(spark, tmp_path, monkeypatch):
+    assert require_shared(spark, f"{tmp_path}/") == str(tmp_path)
+    monkeypatch.setattr(spark.sparkContext, "master", "yarn")
+    for folder in (str(tmp_path), f"file://{tmp_path}"):
+        with pytest.raises(ValueError, match="executors"):
+            sources.Store(spark, folder)
+        with pytest.raises(ValueError, match="executors"):
+            require_shared(spark, folder)
+
+
 def test_jobs_side_by_side_keep_local_properties(spark):
     context = spark.sparkContext
     context.setLocalProperty("spark.scheduler.pool", "own")
