@@ -11,7 +11,7 @@ from scorebook.llm import language_id, quality_classifier
 from scorebook.llm.decontamination import contaminated
 from scorebook.llm.line_dedup import LOWER, UPPER, drop_frequent_lines
 from scorebook.llm.mixing import mix
-from scorebook.llm.quality_rules import quality_rules
+from scorebook.llm.quality_rules import CLASSES, quality_rules
 from scorebook.llm.secrets import secrets
 from scorebook.llm.simhash import simhash_groups
 from scorebook.llm.suffix_dedup import remove_repeats
@@ -164,4 +164,92 @@ SELECT doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
 FROM k LEFT JOIN f ON k.key = f.key GROUP BY doc_id
 """
 
-SQL: dict[str, str] = {"op4_mix_sources": _MIX, "op6_line_dedup": _LINES}
+
+
+def _part(p: str, q: str) -> str:
+    return (
+        f"(CASE WHEN {p} > 0 THEN {p} * log2(2 * {p} / ({p} + {q})) ELSE 0 END"
+        f" + CASE WHEN {q} > 0 THEN {q} * log2(2 * {q} / ({p} + {q})) ELSE 0 END)"
+    )
+
+
+def _class_parts() -> str:
+    terms = (_part(f"(d.{c} / greatest(d.n_chars, 1))", f"(r.{c} / r.n_chars)") for c in CLASSES)
+    return " + ".join(terms)
+
+
+_COUNTED = {
+    "lower": "[a-z]",
+    "space": r"[\x20\x09-\x0D]",
+    "upper": "[A-Z]",
+    "digit": "[0-9]",
+    "symbol": "[#*$%&|<>]",
+    "mark": "[.,;:!?''\"()-]",
+}
+_COUNTS = ", ".join(
+    f"length(text) - length(regexp_replace(text, '{pattern}', '', 'g')) AS {name}"
+    for name, pattern in _COUNTED.items()
+)
+
+_RULES = rf"""
+WITH t AS (
+  SELECT doc_id, lang, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+g AS (
+  SELECT doc_id, i, w[i] || chr(0) || w[i + 1] || chr(0) || w[i + 2] AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM t)),
+v AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
+  FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g), range(3) AS r(k)
+  WHERE n > 1 GROUP BY doc_id),
+c AS (
+  SELECT doc_id, lang, len(w) AS n_words, length(text) AS n_chars,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines, {_COUNTS},
+         length(text) - length(regexp_replace(text, '\p{{L}}', '', 'g')) - lower - upper AS letter,
+         n_chars - lower - space - upper - digit - symbol - mark - letter AS rest
+  FROM t),
+d AS (
+  SELECT c.*, coalesce(n_repeat_words, 0) AS n_repeat_words FROM c LEFT JOIN v USING (doc_id)),
+s AS (
+  SELECT doc_id, lang, word, count(*) AS n
+  FROM (SELECT doc_id, lang, lower(unnest(list_filter(w, lambda x: length(x) <= 5))) AS word FROM t)
+  GROUP BY ALL),
+r AS (
+  SELECT lang, greatest(sum(n_chars), 1) AS n_chars, greatest(sum(n_words), 1) AS n_words,
+         {", ".join(f"sum({x}) AS {x}" for x in CLASSES)}
+  FROM d WHERE lang IS NOT NULL GROUP BY lang),
+b AS (
+  SELECT b.lang, word, n / n_words AS q
+  FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS rank
+        FROM (SELECT lang, word, sum(n) AS n FROM s WHERE lang IS NOT NULL GROUP BY ALL)) b
+  JOIN r ON r.lang = b.lang WHERE rank <= 48),
+e AS (SELECT lang, sum(q) AS every FROM b GROUP BY lang),
+m AS (
+  SELECT d.doc_id, b.lang, sum({_part("(s.n / greatest(d.n_words, 1))", "b.q")}) AS parts,
+         sum(s.n / greatest(d.n_words, 1)) AS p, sum(b.q) AS q
+  FROM d JOIN s USING (doc_id) JOIN b ON b.word = s.word GROUP BY ALL),
+n AS (
+  SELECT d.doc_id, sqrt(greatest(({_class_parts()}) / 2, 0)) AS class,
+         greatest(1 - coalesce(m.p, 0), 0) AS p0, greatest(1 - coalesce(e.every, 0), 0) AS q0,
+         sqrt(greatest((coalesce(m.parts, 0) + {_part("p0", "q0")}
+                        + greatest(coalesce(e.every, 0) - coalesce(m.q, 0), 0)) / 2, 0)) AS word
+  FROM d CROSS JOIN r LEFT JOIN e ON e.lang = r.lang
+  LEFT JOIN m ON m.doc_id = d.doc_id AND m.lang = r.lang),
+x AS (SELECT doc_id, min({{'a': class + word, 'class': class, 'word': word}}) AS best FROM n GROUP BY doc_id)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_chars - space AS BIGINT) AS word_chars,
+       CAST(symbol AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT base_failed AND coalesce(best['class'], 0) <= 0.28
+         AND (n_words < 80 OR coalesce(best['word'], 0) <= 0.4) AS kept
+FROM d LEFT JOIN x USING (doc_id)
+"""
+
+SQL: dict[str, str] = {
+    "op3_quality_rules": _RULES,
+    "op4_mix_sources": _MIX,
+    "op6_line_dedup": _LINES,
+}
