@@ -165,9 +165,12 @@ def train(
     known = documents.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(id_column, folds) != held_out)
     ).select(F.col("lang").cast("string").alias("lang"), F.col(id_column).alias("id"), "text")
-    sizes = known.groupBy("lang").agg((F.lit(float(most_documents)) / F.count(F.lit(1))).alias("share"))
+    # One row per language; as part of the filter they cost the texts no shuffle.
+    sizes = known.groupBy("lang").count().collect()
+    shares = [F.lit(x) for r in sizes for x in (r["lang"], most_documents / r["count"])]
+    share = F.try_element_at(F.create_map(*shares), F.col("lang")) if shares else F.lit(0.0)
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
-    rows = known.join(sizes, "lang").where(draw < F.col("share")).select("lang", "text")
+    rows = known.where(draw < share).select("lang", "text")
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         names = batch.column(0).to_pylist()
