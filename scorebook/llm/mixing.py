@@ -74,6 +74,9 @@ def copies_by_source(rows: DataFrame, targets: DataFrame, most: float = 3.0) ->
         .withColumns({"low": F.lit(0), "high": F.lit(UNIT), "below": F.lit(0)})
         .withColumns({c: F.col(c).cast("long") for c in ("low", "high", "below")})
     )
+    # A table of known size, so that Spark broadcasts it if it is small, and else
+    # can split a source that holds most rows.
+    cuts = stored(cuts, "mix-targets")
     in_order = Window.partitionBy("source").orderBy("u")
     through = in_order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
 
