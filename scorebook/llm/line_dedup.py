@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorebook.llm.shared import WHITE_SPACE, fresh, row_key, scratch
+from scorebook.llm.shared import WHITE_SPACE, fresh, row_key, scratch, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -118,8 +118,11 @@ def drop_frequent_lines(
     for batch in range(batches):
         runs.add(rows.where(F.col("batch") == batch).select(F.explode("keys").alias("key")))
     exploded = rows.select("row", F.explode("keys").alias("key"))
+    # Stored, so that both sides of the join are plain exchanges: a key that most
+    # documents have is then split over tasks.
+    known = stored(runs.frequent_keys(), "frequent-lines")
     dropped = (
-        exploded.join(runs.frequent_keys(), "key", "left_semi")
+        exploded.join(known, "key", "left_semi")
         .groupBy(F.col("row").alias(row))
         .agg(F.collect_set("key").alias(frequent_column))
     )
