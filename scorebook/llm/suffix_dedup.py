@@ -38,7 +38,7 @@ from scorebook.llm.word_hashes import VALUES, mixed, prefix_sums, range_hashes
 #: Strings of one open run that go to the next level together.
 STEP = 16
 #: Strings handled at once; anchors are compared by hash first, by place in these bits last.
-PIECE = 1 << 20
+PIECE = 1 << 19
 PLACE_BITS = np.uint64((1 << 22) - 1)
 #: A tuple's place: first string, number of strings less one, bytes from there to the anchor.
 SPAN_BITS = 12
