@@ -1,5 +1,8 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
+Candidates are private key blocks, provider formats, passwords of URLs, any
+value given to a telling name, and long runs of key characters with a digit.
+
 Labelled findings train the forest. Where a corpus brings none, provider
 formats and assignments to tell-tale names give positive findings, and plain
 numbers, paths, placeholders and words give negative ones; what neither rule
@@ -12,6 +15,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -30,9 +34,30 @@ PROVIDER = re.compile(
     r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|glpat-[\w\-]{20,}|xox[abprs]-[\w\-]{10,}"
     r"|sk-[A-Za-z0-9\-_]{20,}|AIza[\w\-]{35}|sk_live_[A-Za-z0-9]{16,}"
 )
+PRIVATE_KEY = re.compile(
+    r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+    r"(?:(?:[^-]|-(?!----))*+-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----)?"
+)
+KNOWN = re.compile(rf"(?<![A-Za-z0-9])(?:{PROVIDER.pattern})(?![A-Za-z0-9])")
+URL_PASSWORD = re.compile(r"://[^\s:/?#@\"'<>]*:(?!\d+[?#])([^\s/\"'<>]+)@")
+#: A name that holds a telling word, a sign, and a value: quoted with any content, or up to white
+#: space, a quote or a tag. The first look ahead keeps most words from being searched.
+NAMED = re.compile(
+    r"(?<!\w)(?=\w++(?:\\*[\"'`\])]){0,2}\s*+[=:])"
+    rf"(?=\w*?(?:{'|'.join(TELLING)}))\w++(?:\\*[\"'`\])]){{0,2}}\s*+"
+    r"(?:===?|=>|:=|=|:(?!:|//))[^\S\n]*+(?:\n[^\S\n]++)?(?:(?:bearer|basic|token)[^\S\n]++)?"
+    r"(?:\"((?:[^\"\\\n]|\\.)++)\"|'((?:[^'\\\n]|\\.)++)'|`([^`\n]++)`"
+    r"|(?:\\*[\"'`])?((?:(?!</?[a-z])[^\s\"'`])++))",
+    re.IGNORECASE,
+)
 ASSIGNED = re.compile(
     rf"(?:{'|'.join(TELLING)})\w*[\"']?\s*(?:=|:|=>)\s*[\"']?$", re.IGNORECASE
 )
+#: Not values but where to find them: variables, calls, templates, nothing.
+REFERENCE = re.compile(
+    r"\$\{[^}]*\}|\$[A-Z][A-Z0-9_]*|\$?\{\{.*\}\}|<[^<>]*>|%\w+%|[A-Za-z_][\w.]*(?:\(.*\)|\[.*\]|[(\[])"
+    r"|(?i:none|null|nil|true|false|undefined)"
+)
 _PATH = re.compile(r"(?:https?:|www\.|[\w.]+@|[\w\-]+/[\w\-]+/|\\)\S*$", re.IGNORECASE)
 _WORD = re.compile(r"[^\W\d_]{3,}")
 NEIGHBOURS = 3
@@ -49,6 +74,8 @@ FEATURES = (
     "dictionary",
     "slashes",
     "in_path",
+    "provider",
+    "named",
     "assigned",
     "quoted",
     "placeholder",
@@ -60,15 +87,78 @@ def _kind(c: str) -> int:
     return 0 if c.isdigit() else 1 if c.isupper() else 2 if c.islower() else 3
 
 
+def _value(text: str, match: re.Match) -> tuple[int, int]:
+    """The value's span; unquoted ones end before the next parameter of a URL and closing marks."""
+    start, end = match.span(match.lastindex)
+    if match.lastindex < 4:
+        return start, end
+    value = text[start:end]
+    if re.search(r"[?&#][\w.\[\-]*$", text[max(0, match.start() - 60) : match.start()]):
+        value = re.split("[&#]", value, maxsplit=1)[0]
+    if text[end : end + 1] in ("'", '"', "`"):
+        value = value.rstrip("\\")
+    opener = {")": "(", "]": "[", "}": "{", ">": "<"}
+    while value and (value[-1] in ".,;:" or opener.get(value[-1], value[-1]) not in value):
+        value = value[:-1]
+    return start, start + len(value)
+
+
+def _named(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of the values given to telling names, the inner ones where a value holds some."""
+    at = 0
+    while match := NAMED.search(text, at):
+        start, at = _value(text, match)
+        yield from [_value(text, m) for m in NAMED.finditer(text, start, at)] or [(start, at)]
+
+
+def spans(text: str) -> dict[tuple[int, int], str]:
+    """The form of each candidate span, in order; of overlapping ones the surer form stays."""
+    taken = bytearray(len(text))
+    found = {}
+
+    def add(start: int, end: int, form: str) -> None:
+        if start < end and not any(taken[start:end]):
+            taken[start:end] = b"\x01" * (end - start)
+            found[start, end] = form
+
+    for match in PRIVATE_KEY.finditer(text):
+        add(*match.span(), "private")
+    for match in KNOWN.finditer(text):
+        add(*match.span(), "provider")
+    for match in URL_PASSWORD.finditer(text):
+        add(*match.span(1), "named")
+    for span in _named(text):
+        add(*span, "named")
+    for match in CANDIDATE.finditer(text):
+        add(*match.span(), "run")
+    return dict(sorted(found.items()))
+
+
+def _plain(value: str) -> bool:
+    """Words only, as prose or code has them after a colon."""
+    value = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value)
+    words = [w for w in re.split(r"[\s'’.,;:!?_\-]+", value) if w]
+    return all(w.isalpha() and (w.isupper() or w[1:].islower() or len(w) == 1) for w in words)
+
+
 class Document:
     """What the features of a text's candidates need of the text itself."""
 
     def __init__(self, text: str):
         self.text = text
-        self.words = {w.lower() for w in _WORD.findall(CANDIDATE.sub(" ", text))}
-        self.pairs = Counter(zip(text, text[1:], strict=False))
+        self.spans = spans(text)
         self.total = max(1, len(text) - 1)
 
+    @cached_property
+    def words(self) -> set[str]:
+        cuts = [0, *(at for span in self.spans for at in span), len(self.text)]
+        rest = " ".join(self.text[a:b] for a, b in zip(cuts[::2], cuts[1::2], strict=True))
+        return {w.lower() for w in _WORD.findall(rest)}
+
+    @cached_property
+    def pairs(self) -> Counter:
+        return Counter(zip(self.text, self.text[1:], strict=False))
+
     def coverage(self, value: str) -> float:
         """Share of the characters that words of the text cover, longest first."""
         lowered, at, covered = value.lower(), 0, 0
@@ -95,6 +185,9 @@ class Document:
         counts = Counter(value).values()
         near = " ".join(before.lower().split()[-NEIGHBOURS:])
         lowered = value.lower()
+        form = self.spans.get((start, end))
+        provider = form in ("private", "provider")
+        named = form == "named" or bool(ASSIGNED.search(text[max(0, start - 60) : start]))
         return [
             float(n),
             *share,
@@ -104,6 +197,8 @@ class Document:
             self.coverage(value),
             value.count("/") / n,
             float(bool(_PATH.search(before))),
+            float(provider),
+            float(named),
             float(bool(re.search(r"[=:]\s*[\"']?$", before))),
             float(before[-1:] in ("'", '"') and text[end : end + 1] in ("'", '"')),
             float(any(p in lowered for p in PLACEHOLDERS)),
@@ -116,9 +211,11 @@ class Document:
         known = dict(zip(FEATURES, x, strict=True))
         if known["placeholder"] or known["in_path"] or known["dictionary"] > 0.8:
             return 0
-        if known["digits"] == 1 or len(set(value)) < 6:
+        if known["named"] and REFERENCE.fullmatch(value):
             return 0
-        if PROVIDER.fullmatch(value) or ASSIGNED.search(self.text[max(0, start - 60) : start]):
+        if known["digits"] == 1 or len(set(value)) < 6:
+            return None if known["named"] else 0
+        if known["provider"] or known["named"] and not _plain(value):
             return 1
         return None
 
@@ -133,11 +230,10 @@ def candidates(documents: DataFrame, id_column: str = "doc_id") -> DataFrame:
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         found = []
         for i, text in enumerate(batch.column(1).to_pylist()):
-            document = None
-            for match in CANDIDATE.finditer(text or ""):
-                document = document or Document(text)
-                x = document.features(*match.span())
-                found.append((i, *match.span(), match.group(), x, document.rule(*match.span(), x)))
+            document = Document(text) if text else None
+            for span in document.spans if document else ():
+                x = document.features(*span)
+                found.append((i, *span, text[slice(*span)], x, document.rule(*span, x)))
             if len(found) > 10_000:
                 yield pack(batch, found)
                 found = []
