@@ -196,7 +196,7 @@ class Document:
             self.surprise(value),
             self.coverage(value),
             value.count("/") / n,
-            float(bool(_PATH.search(before))),
+            float(not provider and not named and bool(_PATH.search(before))),
             float(provider),
             float(named),
             float(bool(re.search(r"[=:]\s*[\"']?$", before))),
@@ -209,7 +209,9 @@ class Document:
         """1 or 0 where a rule is sure, else None."""
         value = self.text[start:end]
         known = dict(zip(FEATURES, x, strict=True))
-        if known["placeholder"] or known["in_path"] or known["dictionary"] > 0.8:
+        if self.spans.get((start, end)) == "private":
+            return 1
+        if known["placeholder"] or known["dictionary"] > 0.8:
             return 0
         if known["named"] and REFERENCE.fullmatch(value):
             return 0
@@ -217,7 +219,7 @@ class Document:
             return None if known["named"] else 0
         if known["provider"] or known["named"] and not _plain(value):
             return 1
-        return None
+        return 0 if known["in_path"] else None
 
 
 def candidates(documents: DataFrame, id_column: str = "doc_id") -> DataFrame:
@@ -285,9 +287,10 @@ def train(findings: DataFrame, most_rows: int = 20_000) -> RandomForestClassific
 
 
 def scored(found: DataFrame, model: RandomForestClassificationModel | None) -> DataFrame:
-    """``found`` (id, start, end, value, x) with the forest's ``score``; 1 without a forest."""
+    """``found`` (id, start, end, value, x, label) with the forest's ``score``. Without a forest
+    it is 1 for what the rules are sure of, and 0 for the rest."""
     if model is None:
-        return found.withColumn("score", F.lit(1.0))
+        return found.withColumn("score", F.coalesce((F.col("label") == 1).cast("double"), F.lit(0.0)))
     return model.transform(_columns(found)).withColumn("score", vector_to_array("probability")[1])
 
 

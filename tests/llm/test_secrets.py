@@ -110,3 +110,28 @@ def test_references_are_no_values():
         text = f"password = {value} and more"
         document = Document(text)
         assert [document.rule(*s, document.features(*s)) for s in document.spans] == [0]
+
+
+def test_secrets_in_urls_are_found(make):
+    r = random.Random(11)
+    rows, expected = corpus()
+    for i in range(120, 180):
+        key, value = "ghp_" + hexes(r, 36), hexes(r, 40)
+        form, value = [
+            ("https://user:{}@github.com/x", key),
+            ("https://api.example/x?access_token={}", value),
+            ("https://host.example/bot/{}/send", key),
+            ("https://host.example/a/b?page={}", None),
+        ][i % 4]
+        rows.append((i, f"{prose(i, 30)} {form.format(value or hexes(r, 40))} {prose(500 + i, 30)}", "en", "a"))
+        if value:
+            expected.add((i, value))
+    assert {(r["doc_id"], r["value"]) for r in secrets(make(rows)).collect()} == expected
+
+
+def test_rules_alone_decide_without_a_forest(make):
+    junk = [row for row in corpus()[0] if row[0] % 6 > 2]
+    assert secrets(make(junk)).collect() == []
+    sure, some = ("AKIA" + "QWERTYUIOPASDFGH", "9f8e7d6c5b4a39281706")
+    found = secrets(make([(1, f"{prose(1, 30)} {sure} and {some} {prose(2, 30)}", "en", "a")])).collect()
+    assert [r["value"] for r in found] == [sure]
