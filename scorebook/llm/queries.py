@@ -14,6 +14,7 @@ from scorebook.llm.mixing import mix
 from scorebook.llm.quality_rules import CLASSES, quality_rules
 from scorebook.llm.secrets import secrets
 from scorebook.llm.simhash import simhash_groups
+from scorebook.llm.spelling import spelling_groups
 from scorebook.llm.suffix_dedup import remove_repeats
 from scorebook.llm.token_counts import token_counts
 
@@ -95,6 +96,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(rows, benchmark).withColumnRenamed("id", "doc_id")
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(
+        _documents(spark, sf_dir), least_length=7, least_count=2, times=10, damage=31
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -106,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
     "op10_decontamination": op10_decontamination,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
