@@ -16,6 +16,7 @@ from scorebook.llm.secrets import secrets
 from scorebook.llm.simhash import simhash_groups
 from scorebook.llm.spelling import spelling_groups
 from scorebook.llm.suffix_dedup import remove_repeats
+from scorebook.llm.token_alignment import align_tokens
 from scorebook.llm.token_counts import token_counts
 
 
@@ -23,10 +24,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def default_vocabulary() -> str:
+def default_vocabulary(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,6 +103,11 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = default_vocabulary(), default_vocabulary("piece_bpe_32k.model")
+    return align_tokens(_documents(spark, sf_dir), *files)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -114,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_decontamination": op10_decontamination,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
