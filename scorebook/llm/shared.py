@@ -74,6 +74,19 @@ def map_arrow(
     return df.mapInArrow(run, schema)
 
 
+def blocks(texts: list[str | None], characters: int, rows: int) -> Iterator[slice]:
+    """Runs of neighbouring texts with at most so many characters, or a single text, and rows."""
+    start, size = 0, 0
+    for i, text in enumerate(texts):
+        long = len(text or "")
+        if i > start and (size + long > characters or i - start >= rows):
+            yield slice(start, i)
+            start, size = i, 0
+        size += long
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text, 0 for null: word starts are counted without building them."""
     starts = F.regexp_count(text, F.lit(WORD))

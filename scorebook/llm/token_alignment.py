@@ -21,6 +21,7 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,16 +29,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorebook.llm.shared import stored
+from scorebook.llm.shared import blocks, stored
 
 #: Unicode white space, which the byte-level pattern tells from other characters.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: A word with the one space before it, or a longer stretch of white space with what its last space belongs to.
-CHUNK = re.compile(f" [^{SPACE}]+|[^{SPACE}]+|[{SPACE}]+(?:(?<= )[^{SPACE}]+)?")
+#: A word with the one space before it, or a longer stretch of white space with the word that its
+#: last space belongs to. Some pieces end in a carriage return; such a one does not part a chunk.
+_WORD = f"[^{SPACE}]+(?:\r[{SPACE}]*(?:(?<= )[^{SPACE}]+)?)*"
+CHUNK = re.compile(f" {_WORD}|{_WORD}|[{SPACE}]+(?:(?<= ){_WORD})?")
+#: Chunks that stay what they are in a row of their like.
+PLAIN = re.compile(f" [^{SPACE}]+\\Z")
 #: Text (in characters) and documents worked on at once in a task; texts are never cut.
-BLOCK, BLOCK_DOCUMENTS = 1 << 21, 60_000
+BLOCK, BLOCK_DOCUMENTS = 1 << 20, 60_000
+#: Chunks handed to a tokenizer at once.
+AT_ONCE = 20_000
 #: Chunks, and characters of them, whose tokens a worker remembers.
-KEPT, KEPT_CHARACTERS = 200_000, 1 << 24
+KEPT, KEPT_CHARACTERS = 400_000, 1 << 24
 #: Groups with more links than this are counted by distinct ids.
 LARGE = 1024
 #: Spreads ids over buckets.
@@ -147,38 +154,57 @@ class Encoder:
         self.starts = [np.zeros(1, np.int64) for _ in self.sides]
 
     def _learn(self, chunks: list[str]) -> None:
+        """Words with their space are encoded as one text and told apart by their bytes, others one by one."""
+        words = [c for c in chunks if self.by_chunk and PLAIN.match(c)]
+        others = [c for c in chunks if not (self.by_chunk and PLAIN.match(c))]
+        for run, part in ((True, words), (False, others)):
+            for low in range(0, len(part), AT_ONCE):
+                self._add(part[low : low + AT_ONCE], run)
+
+    def _add(self, chunks: list[str], as_text: bool) -> None:
         raw = [c.encode() for c in chunks]
+        bounds = np.cumsum([len(r) for r in raw])
         good = np.ones(len(chunks), bool)
-        for k, side in enumerate(self.sides):
-            found = side.encode(chunks, self.by_chunk)
-            for i, ids in enumerate(found):
-                if b"".join([side.bytes[t] for t in ids]) != raw[i]:
-                    good[i] = False
-            flat = np.fromiter((t for ids in found for t in ids), np.int32)
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
+        found = []
+        for side, length in zip(self.sides, self.lengths, strict=True):
+            if as_text:
+                ids = side.encode(["".join(chunks)], False)[0]
+                flat = np.array(ids, np.int32)
+                ends = np.cumsum(length[flat])
+                last = np.minimum(np.searchsorted(ends, bounds), len(ends) - 1)
+                whole = b"".join([side.bytes[t] for t in ids]) == b"".join(raw)
+                if not whole or (ends[last] != bounds).any():
+                    return self._add(chunks, False)
+                found.append((flat, last + 1))
+            else:
+                lists = side.encode(chunks, self.by_chunk)
+                good &= [b"".join([side.bytes[t] for t in ids]) == r for ids, r in zip(lists, raw, strict=True)]
+                flat = np.array(list(chain.from_iterable(lists)), np.int32)
+                found.append((flat, np.cumsum(list(map(len, lists)))))
+        for k, (flat, ends) in enumerate(found):
+            self.starts[k] = np.concatenate([self.starts[k], len(self.ids[k]) + ends])
             self.ids[k] = np.concatenate([self.ids[k], flat])
-            self.starts[k] = np.concatenate([self.starts[k], self.starts[k][-1] + np.cumsum(sizes)])
         self.good = np.concatenate([self.good, good])
+        self.number.update(zip(chunks, range(len(self.number), len(self.number) + len(chunks)), strict=True))
+        self.characters += sum(map(len, chunks))
 
     def encode(self, texts: list[str | None]) -> Tokens:
         """Of the texts in turn; those that are null, empty or not restored by both have no tokens."""
         if len(self.number) > KEPT or self.characters > KEPT_CHARACTERS:
             self.forget()
-        number, new = self.number, []
-        numbers = []
-        for text in texts:
-            chunks = [] if not text else CHUNK.findall(" " + text) if self.by_chunk else [" " + text]
-            for chunk in chunks:
-                if chunk not in number:
-                    number[chunk] = len(number)
-                    new.append(chunk)
-                    self.characters += len(chunk)
-            numbers.append([number[chunk] for chunk in chunks])
-        if new:
-            self._learn(new)
-        kept = [n if self.good[n].all() else [] for n in numbers]
-        at = np.fromiter((x for n in kept for x in n), np.int64)
-        chunks_from = np.r_[0, np.cumsum([len(n) for n in kept], dtype=np.int64)]
+        split = CHUNK.findall if self.by_chunk else lambda text: [text]
+        chunks = [split(" " + text) if text else [] for text in texts]
+        seen = set().union(*chunks)
+        self._learn(sorted(seen - self.number.keys()))
+        at = np.array(list(map(self.number.__getitem__, chain.from_iterable(chunks))), np.int64)
+        sizes = np.array(list(map(len, chunks)), np.int64)
+        good = self.good[at]
+        if not good.all():
+            text = np.repeat(np.arange(len(texts)), sizes)
+            spoilt = np.bincount(text[~good], minlength=len(texts)) > 0
+            at = at[~spoilt[text]]
+            sizes[spoilt] = 0
+        chunks_from = np.r_[0, np.cumsum(sizes)]
         out = []
         for ids, starts, length in zip(self.ids, self.starts, self.lengths, strict=True):
             first, size = starts[at], np.diff(starts)[at]
@@ -332,18 +358,6 @@ _BLOCK = (
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
 
 
-def _blocks(texts: list[str | None]) -> Iterator[slice]:
-    start, size = 0, 0
-    for i, text in enumerate(texts):
-        long = len(text or "")
-        if i > start and (size + long > BLOCK or i - start >= BLOCK_DOCUMENTS):
-            yield slice(start, i)
-            start, size = i, 0
-        size += long
-    if start < len(texts):
-        yield slice(start, len(texts))
-
-
 def _align(documents: DataFrame, first: bytes, second: bytes, buckets: int, id_column: str) -> DataFrame:
     """A row for each document, and one for each block and bucket with its id pairs."""
     kind = documents.schema[id_column].dataType.simpleString()
@@ -368,7 +382,7 @@ def _align(documents: DataFrame, first: bytes, second: bytes, buckets: int, id_c
         for batch in batches:
             kinds = {name: _ARROW.get(kind, batch.column(0).type) for name, kind in fields}
             ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for part in _blocks(texts):
+            for part in blocks(texts, BLOCK, BLOCK_DOCUMENTS):
                 aligned = Aligned(encoder.encode(texts[part]), sizes)
                 n = part.stop - part.start
                 yield filled(
