@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorebook.llm import language_id, quality_classifier
+from scorebook.llm import language_id, quality_classifier, toxicity
 from scorebook.llm.decontamination import contaminated
 from scorebook.llm.line_dedup import LOWER, UPPER, drop_frequent_lines
 from scorebook.llm.mixing import mix
@@ -97,6 +97,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(rows, benchmark).withColumnRenamed("id", "doc_id")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    network = toxicity.train(documents, labels, most_rows=4_000, folds=5, held_out=0)
+    held_out = F.coalesce(quality_classifier.fold("doc_id", 5) == 0, F.lit(False))
+    return toxicity.score(documents, network).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups(
         _documents(spark, sf_dir), least_length=7, least_count=2, times=10, damage=31
@@ -119,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
     "op10_decontamination": op10_decontamination,
+    "op11_toxicity": op11_toxicity,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_token_alignment": op13_token_alignment,
 }
