@@ -10,7 +10,7 @@ near pair is lost; what reduction or hashing brings together by chance falls in
 the comparison.
 
 The number of symbols follows the vocabulary, so that a reduced word of the
-least length stands for about one word at every size.
+least length stands for a few words at every size.
 """
 
 from __future__ import annotations
@@ -61,9 +61,9 @@ def vocabulary(documents: DataFrame, least_length: int = 7, least_count: int = 2
 
 
 def symbols_for(words: int, least_length: int) -> int:
-    """As few symbols as give a word of ``least_length`` about one place for each word."""
+    """As few symbols as give reduced words of ``least_length`` a place for every eight words."""
     few = 4
-    while few < len(LETTERS) and few**least_length < words:
+    while few < len(LETTERS) and 8 * few**least_length < words:
         few += 1
     return few
 
@@ -166,7 +166,10 @@ def near_words(words: DataFrame, least_length: int = 7) -> DataFrame:
     """
     symbols = symbols_for(words.count(), least_length)
     words = words.withColumn("reduced", reduced(F.col("word"), symbols))
-    cells = words.select("reduced").distinct().withColumn("id", F.monotonically_increasing_id())
+    cells = words.select("reduced").distinct()
+    # A word has some hundred neighbours, so few words are enough for a task.
+    tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = cells.repartition(tasks, "reduced").withColumn("id", F.monotonically_increasing_id())
     cells = stored(_keyed(cells), "spelling-cells")
     words = stored(
         words.join(cells.select("reduced", "id"), "reduced").select("id", "word", "n"), "spelling-words"

@@ -82,7 +82,7 @@ def test_alphabet_is_dealt_evenly_and_grows_with_the_vocabulary():
     for k in (4, 7, len(spelling.LETTERS)):
         sizes = Counter(spelling.alphabet(k)).values()
         assert len(sizes) == k and max(sizes) - min(sizes) <= 1
-    assert [spelling.symbols_for(n, 7) for n in (0, 4**7, 4**7 + 1, 10**9)] == [4, 4, 5, 20]
+    assert [spelling.symbols_for(n, 7) for n in (0, 8 * 4**7, 8 * 4**7 + 1, 10**9)] == [4, 4, 5, 15]
 
 
 def test_groups_equal_brute_force_with_chains_ties_and_hot_words(spark, make):
