@@ -82,11 +82,20 @@ def player_season_stats(
     bowling meet on player and season but not on team, so a player of several
     teams gets every combination of theirs. A NULL season matches no figures.
     """
-    played = player_matches(registry, matches)
-    bat = batting_season_stats(batting, matches).select(
+    stats = season_rows(
+        player_matches(registry, matches),
+        batting_season_stats(batting, matches),
+        bowling_season_stats(bowling, matches),
+    )
+    return stats.orderBy("season", F.desc("matches_played")) if ordered else stats
+
+
+def season_rows(played: DataFrame, batting: DataFrame, bowling: DataFrame) -> DataFrame:
+    """The rows of ``player_season_stats`` from matches played and the two kinds of totals."""
+    bat = batting.select(
         F.col("player_id_batter").alias("player_id"), "season", F.struct("*").alias("bat")
     )
-    bowl = bowling_season_stats(bowling, matches).select(
+    bowl = bowling.select(
         F.col("player_id_bowler").alias("player_id"), "season", F.struct("*").alias("bowl")
     )
     stats = played.join(bat, ["player_id", "season"], "left").join(
@@ -111,10 +120,9 @@ def player_season_stats(
         derived[name] = F.col(f"bat.{name}")
     for name in ("runs_conceded", "balls_bowled", "overs_bowled", "wides", "noballs", "wickets"):
         derived[name] = F.col(f"bowl.{name}")
-    stats = stats.select(
+    return stats.select(
         *(
             derived[name].alias(name) if name in derived else F.col(name)
             for name in columns("player_season_stats")
         )
     )
-    return stats.orderBy("season", F.desc("matches_played")) if ordered else stats

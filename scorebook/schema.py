@@ -223,6 +223,48 @@ TABLES = {
 TABLES["files"] = {"path": "string", "modified": "timestamp", "length": "bigint"}
 TABLES["quarantine"] = {"match_id": "string", "reason": "string", "ingested_at": "timestamp"}
 TABLES["manifest_history"] = {**TABLES["manifest"], "archived_at": "timestamp"}
+# What it keeps to work from changes alone: the season each match is stored under, how many squad
+# entries give a player a name, and season totals that matches can be added to and taken from.
+TABLES["placement"] = {"match_id": "string", "season": "string"}
+TABLES["player_names"] = {"player_id": "string", "player_name": "string", "entries": "bigint"}
+TABLES["season_players"] = {"player_id": "string", "matches": "bigint"}
+TABLES["season_batting"] = {
+    "player_id": "string",
+    "player_name": "string",
+    "team": "string",
+    # One row for all innings, with the matches, and one for each score, with its innings.
+    "is_score": "boolean",
+    "runs": "bigint",
+    "n": "bigint",
+    "balls_faced": "bigint",
+    "fours": "bigint",
+    "sixes": "bigint",
+    "dot_balls": "bigint",
+    "not_outs": "bigint",
+}
+TABLES["season_bowling"] = {
+    "player_id": "string",
+    "player_name": "string",
+    "team": "string",
+    "n": "bigint",
+    "charged": "bigint",
+    "runs_conceded": "bigint",
+    "balls_bowled": "bigint",
+    "wides": "bigint",
+    "noballs": "bigint",
+    "dot_balls": "bigint",
+    "wickets": "bigint",
+}
+#: Tables that only the incremental run keeps.
+RUN_TABLES = {
+    "files",
+    "quarantine",
+    "placement",
+    "player_names",
+    "season_players",
+    "season_batting",
+    "season_bowling",
+}
 
 MARTS = (
     "batting_scorecard",

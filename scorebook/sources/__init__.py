@@ -4,7 +4,7 @@ from scorebook.sources.documents import (
     read_document_lines,
     read_match_documents,
 )
-from scorebook.sources.store import Store
+from scorebook.sources.store import ConcurrentRunError, Store
 from scorebook.sources.tables import (
     create_tables,
     read_table,
@@ -16,6 +16,7 @@ from scorebook.sources.tables import (
 from scorebook.sources.workspace import new_folder
 
 __all__ = [
+    "ConcurrentRunError",
     "Store",
     "create_tables",
     "list_documents",

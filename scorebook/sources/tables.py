@@ -2,7 +2,7 @@
 
 Every table that grows with the matches is partitioned by season, also those
 whose own columns have no season. These are plain sinks, replaced by season;
-``scorebook.sources.store`` keeps versions of the same tables for ``build``.
+``scorebook.sources.store`` keeps the tables of the incremental run.
 """
 
 from collections.abc import Callable, Collection
@@ -12,7 +12,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from scorebook.schema import MARTS, TABLES, columns, ddl
+from scorebook.schema import MARTS, RUN_TABLES, TABLES, columns, ddl
 from scorebook.sources.jobs import run_together
 
 # View names that SQL users of the tables rely on.
@@ -23,7 +23,7 @@ SILVER_VIEWS = {
     "match_player_registry": "match_player_registry",
 }
 
-_UNPARTITIONED = {"dim_player", "manifest_history", "files", "quarantine"}
+_UNPARTITIONED = {"dim_player", "manifest_history"}
 
 
 def table_path(root: str, table: str) -> str:
@@ -59,7 +59,7 @@ def create_tables(spark: SparkSession, root: str):
             writer = no_rows(spark, fields).write.partitionBy("season")
         writer.mode("ignore").parquet(table_path(root, table))
 
-    run_together(*(partial(create, table) for table in TABLES))
+    run_together(*(partial(create, table) for table in TABLES if table not in RUN_TABLES))
 
 
 def read_table(

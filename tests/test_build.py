@@ -206,21 +206,88 @@ def test_only_new_files_are_opened(spark, tmp_path, monkeypatch):
     assert len(rows(house.read("manifest"))) == 6
 
 
-def test_a_run_writes_only_its_batch(spark, tmp_path):
-    """No row of an earlier match is written again, but for its season's totals."""
+def partitions_written(house, table, run):
+    """The partitions of a table that lie in the folders of a run, by the newest pointer."""
+    found = sources.Store(house.spark, house.root).current.folders[table]
+    return {folder for folder, name in found.items() if name.startswith(f"{run}-")}
+
+
+def test_a_run_writes_the_partitions_of_its_batch(spark, tmp_path):
     house = Warehouse(spark, tmp_path)
-    house.run(**{f"m{i}": match(i) for i in range(5)})
-    result = house.run(m9=match(9), m1=match(7, revision=2))
+    house.run(**{f"m{i}": match(i) for i in range(20)}, other=match(1, season="2017"))
+    before = sources.Store(spark, house.root).current
+    result = house.run(m99=match(9), m1=match(7, revision=2))
     counts = {t: result.rows[t] for t in ("bronze", "fact_delivery", "batting_scorecard", "dim_match")}
     assert counts == {"bronze": 6, "fact_delivery": 6, "batting_scorecard": 6, "dim_match": 2}
-    assert len(rows(house.read("bronze"))) == 18
-    before = house.content()
+    assert len(rows(house.read("bronze"))) == 22 * 3
     store = sources.Store(spark, house.root)
-    store.compact()
-    store.vacuum()
-    assert house.content() == before
-    kept = {f.name for f in (tmp_path / "tables" / "bronze").iterdir() if f.is_dir()}
-    assert kept == {"run=3"} and not store.current.replaced["bronze"]
+    touched = store.partitions("bronze", spark.createDataFrame([("m1", "2016"), ("m99", "2016")], "match_id string, season string"))
+    for table in ("bronze", "fact_delivery", "match_player_registry", "dim_match", "batting_scorecard"):
+        written = partitions_written(house, table, 2)
+        assert {f.partition("/")[0] for f in written} == {"season=2016"}
+        assert len(written) == len(touched) < len(partitions_written(house, table, 1))
+    # What the run before the last needed alone is removed, nothing that the last one reads.
+    replaced = [f"{t}/run={r}/{f}" for t, found in before.folders.items() for f, r in found.items()
+                if store.current.folders[t].get(f) != r]
+    assert replaced and all((tmp_path / "tables" / folder).exists() for folder in replaced)
+    content = house.content()
+    archive(spark, house.root, datetime(2024, 2, 1))
+    assert not any((tmp_path / "tables" / folder).exists() for folder in replaced)
+    assert {t: c for t, c in house.content().items() if t != "manifest"} == {t: c for t, c in content.items() if t != "manifest"}
+
+
+def test_of_two_runs_at_once_the_second_fails(spark, tmp_path):
+    house = Warehouse(spark, tmp_path)
+    house.run(m1=match(3))
+    first, second = sources.Store(spark, house.root), sources.Store(spark, house.root)
+    names = spark.createDataFrame([("p", "P", 1)], ddl("player_names"))
+    for store in (first, second):
+        store.write("player_names", names.withColumn("player_name", F.lit(store.run)), only=[(0,), (1,)])
+    first.commit()
+    content = house.content()
+    with pytest.raises(sources.ConcurrentRunError):
+        second.commit()
+    assert house.content() == content
+    # Also if both look before either has written, and the other's pointer is not complete yet.
+    third, fourth = sources.Store(spark, house.root), sources.Store(spark, house.root)
+    number = third.current.number
+    third.write("player_names", names, only=[(0,)])
+    pointer = tmp_path / "tables" / "pointers" / f"{number + 1:012d}"
+    pointer.write_text('{"number": 3')
+    assert house.content() == content and fourth.current.number == number
+    third.commit()
+    assert sources.Store(spark, house.root).current.number == number + 2
+    with pytest.raises(sources.ConcurrentRunError):
+        fourth.commit()
+
+
+def test_changes_add_up_to_a_rebuild(spark, tmp_path):
+    """Random batches of new and revised matches that move, lose players and rename them."""
+    import random
+
+    r = random.Random(4)
+    house, latest = Warehouse(spark, tmp_path / "parts"), {}
+    for batch in range(4):
+        documents = {}
+        for name in r.sample([f"m{i}" for i in range(12)], 6):
+            doc = match(r.choice([0, 30, 50, 99, 100]), r.choice(["2016", "2017", None]), revision=batch + 1)
+            if r.random() < 0.4:  # a player under another name, or in another's place
+                doc["info"]["registry"]["people"]["A0"] = r.choice(["id-A1", "id-A0"])
+                doc["info"]["players"]["A"].append("A0")
+            if r.random() < 0.3:
+                doc["info"]["players"]["A"].remove("A2")
+            documents[name] = doc
+        house.run(**documents)
+        latest |= documents
+    whole = Warehouse(spark, tmp_path / "whole")
+    whole.run(**latest)
+    assert house.content() == whole.content()
+    read = house.read
+    stats = ops.player_season_stats(
+        *(read(t, with_season=True) for t in ("match_player_registry", "dim_match", "batting_scorecard", "bowling_scorecard"))
+    )
+    assert rows(read("player_season_stats")) == rows(stats)
+    assert rows(read("dim_player")) == rows(ops.dim_player(read("match_player_registry")))
 
 
 def test_batches_add_up_to_one_run(spark, tmp_path, monkeypatch):
@@ -248,13 +315,13 @@ def test_batches_add_up_to_one_run(spark, tmp_path, monkeypatch):
     real, calls = sources.Store.save, []
 
     def stops_at(n):
-        def save(self, *args):
+        def save(self, *args, **how):
             calls.append(args[0])
-            return fail() if len(calls) > n else real(self, *args)
+            return fail() if len(calls) > n else real(self, *args, **how)
 
         return save
 
-    for n in (0, 3, 6, 9):
+    for n in (0, 3, 7, 12):
         with monkeypatch.context() as broken:
             calls.clear()
             broken.setattr(sources.Store, "save", stops_at(n))
@@ -271,7 +338,10 @@ def test_batches_add_up_to_one_run(spark, tmp_path, monkeypatch):
     # 2015 is left empty; in 2016 only a display name changes.
     assert result.seasons == {"2015", "2016", "2017", "2018"}
     assert house.content() == whole.content()
-    assert not (tmp_path / "parts" / "tables" / "staging").exists()
+    # Folders of lost runs go with the next commit.
+    archive(spark, house.root)
+    assert not list((tmp_path / "parts" / "tables" / "staging").iterdir())
+    assert len(list((tmp_path / "parts" / "tables" / "bronze").glob("run=*"))) == 2
 
 
 def test_unusable_documents_are_set_aside_and_the_rest_is_built(spark, tmp_path):
