@@ -24,7 +24,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorebook.llm.shared import map_arrow, stored
+from scorebook.llm.shared import map_arrow, scratch, stored
 
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z0-9+/_\-]*[0-9])[A-Za-z0-9+/_\-]{12,}={0,2}")
 #: Names that announce a secret, words that stand for one, provider formats.
@@ -283,7 +283,11 @@ def train(findings: DataFrame, most_rows: int = 20_000) -> RandomForestClassific
     forest = RandomForestClassifier(
         featuresCol="vector", labelCol="label", numTrees=40, maxDepth=6, seed=7, minInstancesPerNode=2
     )
-    return forest.fit(_columns(rows.coalesce(1)))
+    # A fitted forest keeps its training summary and with it the session, which cannot be shipped
+    # to tasks in every state; one that is read back has neither.
+    path = scratch(spark, "secret-forest")
+    forest.fit(_columns(rows.coalesce(1))).save(path)
+    return RandomForestClassificationModel.load(path)
 
 
 def scored(found: DataFrame, model: RandomForestClassificationModel | None) -> DataFrame:

@@ -1,6 +1,8 @@
 import random
 
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 from scorebook.llm.secrets import CANDIDATE, Document, secrets, spans
 
 from tests.llm.conftest import prose
@@ -135,3 +137,11 @@ def test_rules_alone_decide_without_a_forest(make):
     sure, some = ("AKIA" + "QWERTYUIOPASDFGH", "9f8e7d6c5b4a39281706")
     found = secrets(make([(1, f"{prose(1, 30)} {sure} and {some} {prose(2, 30)}", "en", "a")])).collect()
     assert [r["value"] for r in found] == [sure]
+
+
+def test_a_session_that_has_observed_something(spark, make):
+    rows, expected = corpus()
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    assert {(r["doc_id"], r["value"]) for r in secrets(make(rows)).collect()} == expected
