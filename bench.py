@@ -45,11 +45,15 @@ def main():
     spark.read.parquet(f"{folder}/events.parquet").write.format("noop").mode("overwrite").save()
     queries[HEADLINE[0]](spark, folder).write.format("noop").mode("overwrite").save()
 
-    seconds = {}
+    seconds, failed = {}, {}
     optional = [name for name in queries if name.startswith("op")]
     for name in (*HEADLINE, *optional):
         start = time.perf_counter()
-        queries[name](spark, folder).write.format("noop").mode("overwrite").save()
+        try:
+            queries[name](spark, folder).write.format("noop").mode("overwrite").save()
+        except Exception as error:  # one failure must not hide the other figures
+            failed[name] = str(error).splitlines()[0][:300] if str(error) else type(error).__name__
+            continue
         seconds[name] = round(time.perf_counter() - start, 3)
     print(
         json.dumps(
@@ -58,6 +62,7 @@ def main():
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                **({"failed": failed} if failed else {}),
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
             }
         )
