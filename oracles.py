@@ -22,6 +22,10 @@ def _name(team: str, slot: str) -> str:
     return f"({alias} || 'P' || {team} || '_' || {slot})"
 
 
+_SHARED = """match_id, innings_number, batting_team, bowling_team, over_number, delivery_index,
+    is_legal_delivery, is_super_over, runs_batter, runs_extras, runs_total, extras_wides,
+    extras_noballs, extras_byes, extras_legbyes, is_wicket, dismissal_kind"""
+
 _CTE = {
     "numbered": """
         SELECT event_id, user_id, event_type, event_id // 250 AS no, event_id % 250 AS b,
@@ -103,6 +107,11 @@ _CTE = {
         LEFT JOIN squad n ON n.match_id = delivery.match_id AND n.player_name = non_striker
         LEFT JOIN squad o ON o.match_id = delivery.match_id AND o.player_name = player_out
         LEFT JOIN squad c ON c.match_id = delivery.match_id AND c.player_name = fielder""",
+    "tampered": """
+        SELECT * REPLACE (runs_extras + CASE WHEN no % 4 = 1 AND innings_number = 1 AND over_number = 0
+                                             THEN CASE delivery_index WHEN 0 THEN 1 WHEN 1 THEN -1 ELSE 0 END
+                                             ELSE 0 END AS runs_extras)
+        FROM fact""",
     "batting": f"""
         SELECT g.*, display_name AS batter_name,
                rank() OVER (PARTITION BY match_id, innings_number ORDER BY first_ball)
@@ -270,6 +279,19 @@ _SELECTS = {
                  GROUP BY d.match_id) USING (match_id)""",
         "flawed",
     ),
+    "content_audit": (
+        f"""SELECT match_id, b.n AS bronze_rows, f.n AS fact_rows, null_batters, b.n = f.n AS reconciled,
+                   match_id NOT IN (
+                       SELECT match_id FROM (
+                           (SELECT {_SHARED} FROM delivery EXCEPT ALL SELECT {_SHARED} FROM tampered)
+                           UNION ALL
+                           (SELECT {_SHARED} FROM tampered EXCEPT ALL SELECT {_SHARED} FROM delivery)
+                       )) AS content_equal
+            FROM (SELECT match_id, count(*) AS n FROM delivery GROUP BY match_id) b
+            JOIN (SELECT match_id, count(*) AS n, count(*) FILTER (player_id_batter IS NULL) AS null_batters
+                  FROM tampered GROUP BY match_id) f USING (match_id)""",
+        "tampered",
+    ),
     "batting_scorecard": ("SELECT * EXCLUDE (season) FROM batting", "batting"),
     "bowling_scorecard": ("SELECT * EXCLUDE (season) FROM bowling", "bowling"),
     "innings_totals": ("SELECT * FROM totals", "totals"),

@@ -10,7 +10,7 @@ from scorebook.operators.manifest import (
     due_documents,
     upsert_manifest,
 )
-from scorebook.operators.quality import fact_audit, mart_row_counts
+from scorebook.operators.quality import content_audit, fact_audit, mart_row_counts
 from scorebook.operators.registry import dim_player, match_player_registry, player_registry
 from scorebook.operators.scorecards import batting_scorecard, bowling_scorecard
 from scorebook.operators.season import (
@@ -33,6 +33,7 @@ __all__ = [
     "batting_season_stats",
     "bowling_scorecard",
     "bowling_season_stats",
+    "content_audit",
     "dim_match",
     "dim_match_from_documents",
     "dim_player",

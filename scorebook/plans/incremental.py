@@ -197,13 +197,9 @@ class _Run:
     def all(self) -> BuildResult:
         store = self.store
         self.star()
-        audit = _stage(
-            ops.fact_audit(
-                self.fresh["bronze"].select("match_id"),
-                self.fresh["fact_delivery"].select("match_id", "player_id_batter"),
-            ),
-            store.staging("audit"),
-        )
+        audit = ops.content_audit(self.fresh["bronze"], self.fresh["fact_delivery"])
+        audit = audit.withColumn("reconciled", F.col("reconciled") & F.col("content_equal"))
+        audit = _stage(audit, store.staging("audit"))
         bad = audit.where(~F.col("reconciled"))
         quarantined = _quarantine(store, bad, UNRECONCILED)
         if quarantined:

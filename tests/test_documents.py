@@ -275,3 +275,20 @@ def test_audit_counts_unknown_batters(spark, tmp_path):
     doc = document(innings("A", [ball(), ball(batter="Nobody")]))
     bronze, facts = resolved(spark, tmp_path, doc)
     assert rows(ops.fact_audit(bronze, facts)) == [("m1", 2, 2, 1, True)]
+
+
+def test_a_changed_ball_is_caught_where_counts_agree(spark, tmp_path):
+    balls = [ball("A1", runs=1), ball("A2", runs=4), ball("A1", runs=2)]
+    folder = write(tmp_path, m1=document(innings("A", balls)), m2=document(innings("A", balls)))
+    docs = read_match_documents(spark, folder)
+    bronze, facts = ops.flatten_deliveries(docs), ops.fact_from_documents(docs)
+    runs = F.when((F.col("match_id") == "m2") & (F.col("runs_batter") < 4), 3 - F.col("runs_batter"))
+    swapped = facts.withColumn("runs_batter", F.coalesce(runs, F.col("runs_batter")))
+    audit = ops.content_audit(bronze, swapped.repartition(3))
+    assert rows(audit, "match_id", "reconciled", "content_equal") == [("m1", True, True), ("m2", True, False)]
+    doubled = facts.where("match_id = 'm1'").unionByName(facts.where("match_id = 'm2' and runs_batter <> 4"))
+    doubled = doubled.unionByName(facts.where("match_id = 'm2' and runs_batter = 1"))
+    audit = ops.content_audit(bronze, doubled)
+    assert rows(audit, "match_id", "reconciled", "content_equal") == [("m1", True, True), ("m2", True, False)]
+    gone = ops.content_audit(bronze, facts.limit(0))
+    assert rows(gone, "match_id", "reconciled", "content_equal") == [("m1", False, False), ("m2", False, False)]
