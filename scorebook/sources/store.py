@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from scorebook.schema import TABLES, columns, ddl
-from scorebook.sources.tables import no_rows
+from scorebook.sources.tables import no_rows, sorted_files, writer
 from scorebook.sources.workspace import file_system, require_shared
 
 #: What a table's rows are sliced by, for those that do not lie by season too.
@@ -242,7 +242,7 @@ class Store:
             union = found[0] if len(found) == 1 else found[0].unionByName(found[1])
             laid_out = union.hint("rebalance", *names)
         counted = laid_out.observe(seen, F.count_if("fresh").alias("rows")).drop("fresh")
-        counted.write.mode("overwrite").partitionBy(*names).parquet(target)
+        writer(sorted_files(counted, table, names), table).partitionBy(*names).parquet(target)
         written = list(self._folders(target, len(names)))
         return seen.get["rows"], written, None if only is None else set(only)
 

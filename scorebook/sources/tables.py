@@ -9,7 +9,7 @@ from collections.abc import Callable, Collection
 from functools import partial
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from scorebook.schema import MARTS, RUN_TABLES, TABLES, columns, ddl
@@ -23,6 +23,29 @@ SILVER_VIEWS = {
     "match_player_registry": "match_player_registry",
 }
 
+#: Rows of a file: a bound on its size, and on what a reader of one file holds.
+FILE_ROWS = 4_000_000
+_BY_BALL = ("match_id", "innings_number", "over_number", "delivery_index")
+#: What the files of a table are sorted by within a partition, so that column statistics let readers
+#: skip most of them: for one match, or for names that begin alike.
+ORDER = {
+    "bronze": _BY_BALL,
+    "fact_delivery": _BY_BALL,
+    "batting_scorecard": ("match_id", "innings_number", "batting_position"),
+    "bowling_scorecard": ("match_id", "innings_number"),
+    "team_match_summary": ("match_id", "innings_number"),
+    "match_player_registry": ("match_id", "team"),
+    "player_season_stats": ("player_name", "player_id"),
+    "dim_player": ("player_id",),
+}
+#: Columns that are looked up by equal values get a Bloom filter in every file.
+LOOKED_UP = {
+    "batting_scorecard": ("match_id",),
+    "bowling_scorecard": ("match_id",),
+    "fact_delivery": ("match_id",),
+    "player_season_stats": ("player_name", "player_id"),
+}
+
 _UNPARTITIONED = {"dim_player", "manifest_history"}
 
 
@@ -88,9 +111,23 @@ def _laid_out(df: DataFrame, partition_by: str, rebalance: bool) -> DataFrame:
     return df.hint("rebalance", F.col(partition_by)) if rebalance else df
 
 
-def _overwrite_partitions(df: DataFrame, path: str, partition_by: str):
+def sorted_files(df: DataFrame, table: str, partition_by: tuple[str, ...]) -> DataFrame:
+    """Each task's rows by partition and then in the table's ``ORDER``; no row changes its task."""
+    order = [c for c in ORDER.get(table, ()) if c not in partition_by]
+    return df.sortWithinPartitions(*partition_by, *order) if order else df
+
+
+def writer(df: DataFrame, table: str = "") -> DataFrameWriter:
+    """Files of at most ``FILE_ROWS`` rows, with Bloom filters where the table is looked up by value."""
+    found = df.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS)
+    for column in LOOKED_UP.get(table, ()):
+        found = found.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    return found
+
+
+def _overwrite_partitions(df: DataFrame, path: str, partition_by: str, table: str = ""):
     (
-        df.write.mode("overwrite")
+        writer(sorted_files(df, table, (partition_by,)), table)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_by)
         .parquet(path)
@@ -125,7 +162,7 @@ def write_seasons(
         F.count_if(F.col("season").isNull()).alias("unnamed"),
         F.collect_set("season").alias("seasons"),
     )
-    _overwrite_partitions(observed, table_path(root, table), "season")
+    _overwrite_partitions(observed, table_path(root, table), "season", table)
     written = set(seen.get["seasons"]) | ({None} if seen.get["unnamed"] else set())
     _clear_seasons(df.sparkSession, root, table, set(seasons) - written)
     return seen.get["rows"]

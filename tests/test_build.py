@@ -5,6 +5,7 @@ import os
 from datetime import datetime, timezone
 from functools import partial
 
+import pyarrow.parquet as pq
 import pytest
 from matches import ball, document, innings, rows, write
 from pyspark.sql import functions as F
@@ -100,6 +101,36 @@ def test_marts_can_be_partitioned_by_another_column(spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path)), "match_id", "runs") == [("m1", 1), ("m2", 3)]
 
 
+def test_files_are_sorted_bounded_and_skipped(spark, tmp_path, monkeypatch):
+    """By match in the facts' files, by name in the season mart: a lookup can skip most files."""
+    monkeypatch.setattr("scorebook.sources.tables.FILE_ROWS", 50)
+    store = sources.Store(spark, str(tmp_path), slices=2)
+    names = F.concat(F.lit("P"), F.format_string("%04d", (F.col("id") * 37) % 1000))
+    stats = spark.range(1000).select(F.col("id").cast("string").alias("player_id"), names.alias("player_name"))
+    empty = store.read("player_season_stats").withColumn("season", F.lit("2016"))
+    stats = empty.limit(0).unionByName(stats.withColumn("season", F.lit("2016")), allowMissingColumns=True)
+    store.write("player_season_stats", stats)
+    store.commit()
+    files = [pq.read_table(f, columns=["player_name"]).column(0).to_pylist() for f in tmp_path.glob("player_season_stats/**/*.parquet")]
+    assert sum(map(len, files)) == 1000 and max(map(len, files)) <= 50
+    assert all(f == sorted(f) for f in files)
+    assert sum(1 for f in files if f[0][:3] <= "P04" <= f[-1][:3]) <= 6 < len(files) / 3
+    found = ops.player_season_lookup(store.read("player_season_stats"), "P04%", "2016")
+    assert found.count() == 100
+    plan = found._jdf.queryExecution().toString()
+    assert "StringStartsWith(player_name,P04)" in plan
+    balls = spark.createDataFrame(
+        [(f"m{i % 7}", i % 2, i % 5, i % 3) for i in range(210)],
+        "match_id string, innings_number int, over_number long, delivery_index int",
+    )
+    balls = store.read("fact_delivery").limit(0).unionByName(balls, allowMissingColumns=True)
+    sources.write_seasons(balls.withColumn("season", F.lit("x")), str(tmp_path / "plain"), "fact_delivery", ["x"])
+    files = [pq.read_table(f).select(["match_id", "innings_number", "over_number", "delivery_index"]).to_pylist()
+             for f in tmp_path.glob("plain/fact_delivery/**/*.parquet")]
+    assert sum(map(len, files)) == 210 and max(map(len, files)) <= 50
+    assert all(f == sorted(f, key=lambda row: list(row.values())) for f in files)
+
+
 def test_views_carry_the_tables(spark, tmp_path):
     root = str(tmp_path)
     sources.create_tables(spark, root)
