@@ -145,7 +145,7 @@ WITH d AS (
          CAST(('0x' || substr(md5(concat_ws('|', CAST(doc_id AS VARCHAR), text)), 1, 13)) AS BIGINT) AS u
   FROM documents),
 s AS (
-  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS documents,
          row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
   FROM d GROUP BY source),
 w AS (SELECT *, [5.0::DOUBLE, 2.0, 1.0][rank % 3 + 1] AS weight, 3.0::DOUBLE * source_size AS cap FROM s),
@@ -156,16 +156,24 @@ l AS (
             / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST
               ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
   FROM w),
-t AS (SELECT source, source_size, least(cap, max(level) OVER () * weight) AS target FROM l),
+t AS (SELECT source, source_size, documents, least(cap, max(level) OVER () * weight) AS target FROM l),
 r AS (
   SELECT *, CASE WHEN source_size > 0
             THEN least(floor(target / source_size + 1e-9), 3) ELSE 0 END AS whole FROM t),
 q AS (SELECT *, greatest(target - whole * source_size, 0) AS rest FROM r),
-e AS (
-  SELECT d.*, source_size, target, whole, rest,
-         sum(d.size) OVER (PARTITION BY d.source ORDER BY u
-                           RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS through
+f AS (
+  SELECT d.doc_id, d.source, d.size, source_size, target, whole, rest,
+         (CAST(u AS DOUBLE) + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS v,
+         2 + CAST(least(2, floor(d.size * documents / greatest(source_size, 1))) AS BIGINT) AS favour
   FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
+p AS (
+  SELECT *, CASE WHEN weighted > 0 THEN least(1.0::DOUBLE, rest * favour / weighted) ELSE 0 END AS p
+  FROM (SELECT *, CAST(sum(favour * size) OVER (PARTITION BY source) AS DOUBLE) AS weighted FROM f)),
+e AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY u
+                            RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS through
+  FROM (SELECT * EXCLUDE (v), least(4503599627370495, CAST(floor(
+          (v * (1 - p)) / (v * (1 - p) + (1 - v) * p) * 4503599627370496::DOUBLE) AS BIGINT)) AS u FROM p)),
 c AS (
   SELECT source, rest - coalesce(max(through) FILTER (through <= rest), 0) AS gap
   FROM e GROUP BY source, rest),

@@ -62,6 +62,38 @@ def test_fewer_copies_than_expected_is_rare(make):
     }
 
 
+def test_inclusions_follow_their_probabilities(make):
+    """Three lengths in one source: how often each is taken, against p, and rank against its formula."""
+    lengths = {10: 3000, 30: 800, 90: 200}
+    rows = [(i, "w " * n + str(i), "en", "a") for i, n in enumerate(n for n, k in lengths.items() for _ in range(k))]
+    rows += [(10_000 + i, "w " * 400, "en", "b") for i in range(150)]
+    found = mix(make(rows), weights=(1.0, 3.0), most=2.0)
+    size, source_size, target, copies, taken = found.columns[-5:]
+    own = [r for r in found.where("source = 'a'").collect()]
+    total, goal = own[0][source_size], own[0][target]
+    assert 0.2 < goal / total < 0.8
+    mean = total / len(own)
+    favour = {r[size]: 2 + min(2, int(r[size] // mean)) for r in own}
+    assert sorted(favour.values()) == [2, 3, 4]
+    weighted = sum(favour[r[size]] * r[size] for r in own)
+    for n, k in zip(sorted(favour), lengths.values(), strict=True):
+        p = min(1, goal * favour[n] / weighted)
+        share = sum(r[copies] for r in own if r[size] == n) / k
+        assert share == pytest.approx(p, abs=4 * (p * (1 - p) / k) ** 0.5 + 0.01)
+    assert sum(r[taken] for r in own) == pytest.approx(goal, rel=0.002)
+
+
+def test_pareto_rank_is_the_ratio_of_odds(spark):
+    from scorebook.llm.mixing import UNIT, pareto_rank
+
+    pairs = [(u, p) for u in (0.001, 0.3, 0.7, 0.999) for p in (0.0, 0.1, 0.5, 0.9, 1.0)]
+    rows = spark.createDataFrame([(int(u * UNIT), p) for u, p in pairs], "u long, p double")
+    found = [r[0] / UNIT for r in rows.select(pareto_rank(F.col("u"), F.col("p"))).collect()]
+    for (u, p), rank in zip(pairs, found, strict=True):
+        odds = u / (1 - u) * (1 - p) / p if p else float("inf")
+        assert rank == pytest.approx(odds / (1 + odds) if p else 1.0, abs=1e-9)
+
+
 def test_odd_rows(odd, odd_rows, empty):
     found = mix(odd)
     size, source_size, target, copies, taken = found.columns[-5:]
