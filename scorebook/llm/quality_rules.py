@@ -3,9 +3,8 @@
 A document's histograms of character classes and of common words are compared
 with those of each language by Jensen-Shannon distance. References are counted
 over the whole corpus: the class totals of a language's documents, and its most
-frequent short words (function words are short, and short words are few enough
-to count on the map side). A document is judged by its nearest language, so a
-missing or wrong language name does no harm.
+frequent words, of any length. A document is judged by its nearest language, so
+a missing or wrong language name does no harm.
 """
 
 from __future__ import annotations
@@ -66,9 +65,8 @@ def _plus(k: int):
     return lambda i: i + k
 
 
-def digest(documents: DataFrame, id_column: str, longest: int) -> DataFrame:
-    """One narrow row per document: counts, class counts, and its words of up to
-    ``longest`` letters in lower case."""
+def digest(documents: DataFrame, id_column: str) -> DataFrame:
+    """One row per document: counts, class counts, and its words in lower case."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = documents.select(F.col(id_column).alias("id"), F.col("lang").alias("lang"), text.alias("text"))
     rows = _class_counts(rows)
@@ -77,7 +75,6 @@ def digest(documents: DataFrame, id_column: str, longest: int) -> DataFrame:
     words = F.when(trimmed == "", none).otherwise(F.split(trimmed, f"{SPACE_CLASS}+", -1))
     lines = F.filter(F.split("text", "\n", -1), lambda x: F.btrim(x, F.lit(WHITE_SPACE)) != "")
     rows = _repeated(rows.withColumns({"words": words, "lines": lines}))
-    short = F.filter("words", lambda w: F.length(w) <= longest)
     return rows.select(
         "id",
         "lang",
@@ -87,12 +84,12 @@ def digest(documents: DataFrame, id_column: str, longest: int) -> DataFrame:
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words",
         *CLASSES,
-        F.transform(short, lambda w: F.lower(w)).alias("short"),
+        F.transform("words", lambda w: F.lower(w)).alias("folded"),
     )
 
 
 def references(rows: DataFrame, common: int) -> list[dict]:
-    """For each language its class shares and its ``common`` most frequent short words.
+    """For each language its class shares and its ``common`` most frequent words.
 
     Aggregated over all documents with a language. The result has one entry per
     language and ``common`` words at most in each, and becomes part of the plan.
@@ -101,7 +98,7 @@ def references(rows: DataFrame, common: int) -> list[dict]:
     totals = known.groupBy("lang").agg(
         *(F.sum(c).alias(c) for c in CLASSES), F.sum("n_words").alias("n_words")
     )
-    counts = known.select("lang", F.explode("short").alias("word")).groupBy("lang", "word").count()
+    counts = known.select("lang", F.explode("folded").alias("word")).groupBy("lang", "word").count()
     order = Window.partitionBy("lang").orderBy(F.desc("count"), "word")
     best = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= common)
     best = best.groupBy("lang").agg(F.collect_list(F.struct("word", "count")).alias("words"))
@@ -166,12 +163,12 @@ def _word_distance(reference: dict) -> Column:
 
 
 def _bags(rows: DataFrame, words: list[str]) -> DataFrame:
-    """Adds ``bag``: (word, count, words of the document) for the ``words`` in ``short``.
+    """Adds ``bag``: (word, count, words of the document) for the ``words`` in ``folded``.
 
     The words are sorted; a count is the distance between two ends of equal runs.
     """
-    listed = F.sort_array(F.filter("short", lambda w: w.isin(words)))
-    rows = rows.withColumn("sorted", listed).drop("short")
+    listed = F.sort_array(F.filter("folded", lambda w: w.isin(words)))
+    rows = rows.withColumn("sorted", listed).drop("folded")
     after = F.slice("sorted", 2, F.greatest(F.size("sorted") - 1, F.lit(0)))
     beside = F.arrays_zip(F.col("sorted").alias("x"), after.alias("y"))
     ends = F.filter(
@@ -198,7 +195,6 @@ def _bags(rows: DataFrame, words: list[str]) -> DataFrame:
 def quality_rules(
     documents: DataFrame,
     common: int = 48,
-    longest: int = 5,
     most_class: float = 0.28,
     most_word: float = 0.4,
     least_words: int = 80,
@@ -216,7 +212,7 @@ def quality_rules(
     reference and only the base rule holds. Rows are independent: repeated rows
     get the same verdict. Other columns are ignored.
     """
-    rows = stored(digest(documents, id_column, longest), "quality-digest")
+    rows = stored(digest(documents, id_column), "quality-digest")
     known = references(rows, common)
     words = sorted({word for reference in known for word in reference["words"]})
     rows = _bags(rows, words or [""])

@@ -252,7 +252,7 @@ d AS (
   SELECT c.*, coalesce(n_repeat_words, 0) AS n_repeat_words FROM c LEFT JOIN v USING (doc_id)),
 s AS (
   SELECT doc_id, lang, word, count(*) AS n
-  FROM (SELECT doc_id, lang, lower(unnest(list_filter(w, lambda x: length(x) <= 5))) AS word FROM t)
+  FROM (SELECT doc_id, lang, lower(unnest(w)) AS word FROM t)
   GROUP BY ALL),
 r AS (
   SELECT lang, greatest(sum(n_chars), 1) AS n_chars, greatest(sum(n_words), 1) AS n_words,
