@@ -3,6 +3,7 @@ from scorebook.sources.documents import (
     parse_documents,
     read_document_lines,
     read_match_documents,
+    stream_match_documents,
 )
 from scorebook.sources.store import ConcurrentRunError, Store
 from scorebook.sources.tables import (
@@ -26,6 +27,7 @@ __all__ = [
     "read_match_documents",
     "read_table",
     "register_views",
+    "stream_match_documents",
     "write_players",
     "write_seasons",
     "write_table",

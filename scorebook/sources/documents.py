@@ -47,6 +47,28 @@ def read_match_documents(spark: SparkSession, paths: str | Sequence[str]) -> Dat
     return docs.select(stem, "meta", "info", "innings", CORRUPT)
 
 
+def stream_match_documents(
+    spark: SparkSession, folder: str, files_at_once: int, archive_to: str | None = None
+) -> DataFrame:
+    """``read_match_documents`` as a stream of the files that arrive in ``folder`` or below it.
+
+    No file is too old to be read. ``archive_to`` is where files go once their batch is done.
+    """
+    options = {
+        "multiLine": True,
+        "columnNameOfCorruptRecord": CORRUPT,
+        "pathGlobFilter": "*.json",
+        "recursiveFileLookup": True,
+        "maxFilesPerTrigger": files_at_once,
+        "maxFileAge": "36500d",
+    }
+    if archive_to:
+        options |= {"cleanSource": "archive", "sourceArchiveDir": archive_to}
+    docs = spark.readStream.schema(_WITH_CORRUPT).options(**options).json(folder)
+    stem = _file_stem(F.col("_metadata.file_path")).alias("match_id")
+    return docs.select(stem, "meta", "info", "innings", CORRUPT)
+
+
 def read_document_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """JSON lines, one document per line with its id in ``match_id``."""
     return (

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from scorebook import operators as ops
 from scorebook import sources
-from scorebook.plans import archive, build, build_folder
+from scorebook.plans import archive, build, build_arrivals, build_folder
 from scorebook.schema import TABLES, ddl
 from scorebook.sources.jobs import run_together
 from scorebook.sources.workspace import require_shared
@@ -243,6 +243,41 @@ def partitions_written(house, table, run):
     return {folder for folder, name in found.items() if name.startswith(f"{run}-")}
 
 
+def test_arrivals_are_read_once(spark, tmp_path, monkeypatch):
+    """In batches, also under an old time or after a lost run; tables as from the whole folder."""
+    seen = []
+
+    def recorded(session, documents, *args):
+        seen.append(sorted(row.match_id for row in documents.select("match_id").collect()))
+        return build(session, documents, *args)
+
+    monkeypatch.setattr("scorebook.plans.arrivals.build", recorded)
+    root, folder = str(tmp_path / "tables"), tmp_path / "documents"
+    write(folder, m1=match(3), m2=match(50, season="2017"), m3=match(8))
+    at = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    results = build_arrivals(spark, str(folder), root, at, files_at_once=2)
+    assert sum(r.rows["bronze"] for r in results) == 9 and sorted(sum(seen, [])) == ["m1", "m2", "m3"]
+    assert max(map(len, seen)) == 2
+    seen.clear()
+    assert build_arrivals(spark, str(folder), root, at) == [] and seen == []
+    write(folder / "later", m1=match(77, revision=2), m4=match(4))
+    os.utime(folder / "later" / "m4.json", (10**9, 10**9))
+    (folder / "m5.json").write_text('{"info": {"season": "2016"')
+    with monkeypatch.context() as broken:
+        broken.setattr(sources.Store, "commit", lambda self: 1 / 0)
+        with pytest.raises(Exception, match="ZeroDivision"):
+            build_arrivals(spark, str(folder), root, at)
+    seen.clear()
+    (result,) = build_arrivals(spark, str(folder), root, at)
+    assert seen == [["m1", "m4", "m5"]] and result.quarantined == {"malformed": 1}
+    store = sources.Store(spark, root)
+    assert rows(store.read("quarantine"), "match_id") == [("m5",)]
+    whole = Warehouse(spark, tmp_path / "whole")
+    whole.run(m1=match(77, revision=2), m2=match(50, season="2017"), m3=match(8), m4=match(4))
+    for table in ("player_season_stats", "batting_scorecard", "dim_player", "manifest"):
+        assert rows(store.read(table)) == rows(whole.read(table))
+
+
 def test_a_run_writes_the_partitions_of_its_batch(spark, tmp_path):
     house = Warehouse(spark, tmp_path)
     house.run(**{f"m{i}": match(i) for i in range(20)}, other=match(1, season="2017"))
