@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorebook.llm.quality_classifier import fold
-from scorebook.llm.shared import map_arrow
+from scorebook.llm.shared import Shipped, map_arrow
 
 #: First and last code point of scripts, in Unicode order.
 SCRIPTS = (
@@ -46,19 +45,24 @@ BUCKETS = 1 << 15
 SLICE = 1 << 20
 
 
-@cache
+#: What a process has worked out. A cached function could not be shipped to workers by value.
+_MADE: dict[str, np.ndarray] = {}
+
+
 def script_names() -> list[str]:
     return ["other", *dict.fromkeys(name for name, _, _ in SCRIPTS)]
 
 
-@cache
 def script_table() -> np.ndarray:
     """By code point: 0 for no letter, else 1 + the number of its script."""
+    if "table" in _MADE:
+        return _MADE["table"]
     letters = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
     table = letters.astype(np.uint8)
     names = script_names()
     for name, first, last in SCRIPTS:
         table[first : last + 1][letters[first : last + 1]] = 1 + names.index(name)
+    _MADE["table"] = table
     return table
 
 
@@ -224,7 +228,7 @@ def identify(documents: DataFrame, model: LanguageModel, id_column: str = "doc_i
     or have no letter are ``und`` with score 0 and no spans, as are all texts
     if nothing was learned. Repeated rows get equal results.
     """
-    held = documents.sparkSession.sparkContext.broadcast(model)
+    held = Shipped(documents.sparkSession, model)
     span = pa.struct([("from", pa.int32()), ("to", pa.int32()), ("lang", pa.string())])
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorebook.llm.shared import map_arrow
+from scorebook.llm.shared import Shipped, map_arrow
 
 FEATURES = (
     "log_words",
@@ -256,7 +256,7 @@ def score(documents: DataFrame, model: AdditiveModel, id_column: str = "doc_id")
 
     Null and empty texts get the score of an empty text, repeated rows equal scores.
     """
-    held = documents.sparkSession.sparkContext.broadcast(model)
+    held = Shipped(documents.sparkSession, model)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         x = np.array([features(t) for t in batch.column(1).to_pylist()])
@@ -271,7 +271,7 @@ def score(documents: DataFrame, model: AdditiveModel, id_column: str = "doc_id")
 
 def accepted(documents: DataFrame, model: AdditiveModel, least: float = 0.5) -> DataFrame:
     """The rows of ``documents`` that score at least ``least``, with all their columns."""
-    held = documents.sparkSession.sparkContext.broadcast(model)
+    held = Shipped(documents.sparkSession, model)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts = batch.column(batch.schema.get_field_index("text")).to_pylist()

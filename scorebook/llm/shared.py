@@ -5,9 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,6 +88,23 @@ def blocks(texts: list[str | None], characters: int, rows: int) -> Iterator[slic
         yield slice(start, len(texts))
 
 
+class Shipped:
+    """A broadcast value that brings its classes along: workers need no copy of this package.
+
+    Plain broadcasts name a class by its module, which a worker would have to import.
+    """
+
+    def __init__(self, spark: SparkSession, value: object):
+        self.held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def __getstate__(self) -> dict:
+        return {"held": self.held}
+
+    @cached_property
+    def value(self):
+        return cloudpickle.loads(self.held.value)
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text, 0 for null: word starts are counted without building them."""
     starts = F.regexp_count(text, F.lit(WORD))

@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorebook.llm.shared import map_arrow
+from scorebook.llm.shared import Shipped, map_arrow
 
 #: Unicode white space, and the byte-level pattern that splits texts into pieces.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -275,7 +275,7 @@ def token_counts(
     other columns are ignored, whatever their names. A map without any shuffle.
     """
     spark = documents.sparkSession
-    loaded = spark.sparkContext.broadcast(Vocabulary.load(vocabulary))
+    loaded = Shipped(spark, Vocabulary.load(vocabulary))
 
     def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         counter = _COUNTERS.get(vocabulary)
