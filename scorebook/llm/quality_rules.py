@@ -65,14 +65,37 @@ def _plus(k: int):
     return lambda i: i + k
 
 
-def digest(documents: DataFrame, id_column: str) -> DataFrame:
-    """One row per document: counts, class counts, and its words in lower case."""
+def _words(text: Column) -> Column:
+    trimmed = F.btrim(text, F.lit(WHITE_SPACE))
+    none = F.array().cast("array<string>")
+    return F.when(trimmed == "", none).otherwise(F.split(trimmed, f"{SPACE_CLASS}+", -1))
+
+
+def frequent_words(documents: DataFrame, common: int) -> dict[str, dict[str, int]]:
+    """The ``common`` most frequent words of each language with their counts, over all its documents.
+
+    Words are counted where they lie before they move; what is collected is
+    ``common`` words for each language.
+    """
+    words = documents.where("lang is not null").select(
+        F.col("lang").alias("lang"), F.explode(_words(F.coalesce(F.col("text"), F.lit("")))).alias("word")
+    )
+    counts = words.groupBy("lang", F.lower("word").alias("word")).count()
+    order = Window.partitionBy("lang").orderBy(F.desc("count"), "word")
+    best = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= common)
+    found: dict[str, dict[str, int]] = {}
+    for row in best.collect():
+        found.setdefault(row["lang"], {})[row["word"]] = row["count"]
+    return found
+
+
+def digest(documents: DataFrame, id_column: str, known: list[str]) -> DataFrame:
+    """One narrow row per document: counts, class counts, and those of its words, in lower case,
+    that are ``known``."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = documents.select(F.col(id_column).alias("id"), F.col("lang").alias("lang"), text.alias("text"))
     rows = _class_counts(rows)
-    trimmed = F.btrim("text", F.lit(WHITE_SPACE))
-    none = F.array().cast("array<string>")
-    words = F.when(trimmed == "", none).otherwise(F.split(trimmed, f"{SPACE_CLASS}+", -1))
+    words = _words(F.col("text"))
     lines = F.filter(F.split("text", "\n", -1), lambda x: F.btrim(x, F.lit(WHITE_SPACE)) != "")
     rows = _repeated(rows.withColumns({"words": words, "lines": lines}))
     return rows.select(
@@ -84,33 +107,28 @@ def digest(documents: DataFrame, id_column: str) -> DataFrame:
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words",
         *CLASSES,
-        F.transform("words", lambda w: F.lower(w)).alias("folded"),
+        F.filter(F.transform("words", lambda w: F.lower(w)), lambda w: w.isin(known or [""])).alias("folded"),
     )
 
 
-def references(rows: DataFrame, common: int) -> list[dict]:
-    """For each language its class shares and its ``common`` most frequent words.
+def references(rows: DataFrame, frequent: dict[str, dict[str, int]]) -> list[dict]:
+    """For each language its class shares and the shares of its ``frequent`` words.
 
     Aggregated over all documents with a language. The result has one entry per
-    language and ``common`` words at most in each, and becomes part of the plan.
+    language and becomes part of the plan.
     """
-    known = rows.where("lang is not null")
-    totals = known.groupBy("lang").agg(
+    totals = rows.where("lang is not null").groupBy("lang").agg(
         *(F.sum(c).alias(c) for c in CLASSES), F.sum("n_words").alias("n_words")
     )
-    counts = known.select("lang", F.explode("folded").alias("word")).groupBy("lang", "word").count()
-    order = Window.partitionBy("lang").orderBy(F.desc("count"), "word")
-    best = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= common)
-    best = best.groupBy("lang").agg(F.collect_list(F.struct("word", "count")).alias("words"))
     found = []
-    for row in totals.join(best, "lang", "left").orderBy("lang").collect():
+    for row in totals.orderBy("lang").collect():
         letters = max(1, sum(row[c] for c in CLASSES))
         words = max(1, row["n_words"])
         found.append(
             {
                 "lang": row["lang"],
                 "classes": {c: row[c] / letters for c in CLASSES},
-                "words": {w["word"]: w["count"] / words for w in sorted(row["words"] or [])},
+                "words": {w: n / words for w, n in sorted(frequent.get(row["lang"], {}).items())},
             }
         )
     return found
@@ -162,12 +180,12 @@ def _word_distance(reference: dict) -> Column:
     return F.sqrt(F.greatest(summed / 2, F.lit(0.0)))
 
 
-def _bags(rows: DataFrame, words: list[str]) -> DataFrame:
-    """Adds ``bag``: (word, count, words of the document) for the ``words`` in ``folded``.
+def _bags(rows: DataFrame) -> DataFrame:
+    """Adds ``bag``: (word, count, words of the document) for the words in ``folded``.
 
     The words are sorted; a count is the distance between two ends of equal runs.
     """
-    listed = F.sort_array(F.filter("folded", lambda w: w.isin(words)))
+    listed = F.sort_array("folded")
     rows = rows.withColumn("sorted", listed).drop("folded")
     after = F.slice("sorted", 2, F.greatest(F.size("sorted") - 1, F.lit(0)))
     beside = F.arrays_zip(F.col("sorted").alias("x"), after.alias("y"))
@@ -212,10 +230,11 @@ def quality_rules(
     reference and only the base rule holds. Rows are independent: repeated rows
     get the same verdict. Other columns are ignored.
     """
-    rows = stored(digest(documents, id_column), "quality-digest")
-    known = references(rows, common)
-    words = sorted({word for reference in known for word in reference["words"]})
-    rows = _bags(rows, words or [""])
+    frequent = frequent_words(documents, common)
+    words = sorted({word for found in frequent.values() for word in found})
+    rows = stored(digest(documents, id_column, words), "quality-digest")
+    known = references(rows, frequent)
+    rows = _bags(rows)
     # A document has one language for both rules: the nearest by words and classes together.
     near = [
         F.struct(_class_distance(r).alias("class"), _word_distance(r).alias("word")) for r in known
