@@ -11,8 +11,6 @@ FOLDER = Path("/root/testdata/sf0.001")
 SQL = entry.oracles.oracle_sql()
 QUERIES = {name: query for name, query in entry.queries().items() if name in entry._QUERIES}
 
-pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="no test data")
-
 
 @pytest.fixture(scope="module")
 def oracle():
