@@ -58,8 +58,6 @@ def test_held_out_labels_are_not_learned(spark, make):
 
 
 def test_held_out_accuracy(spark):
-    if not FOLDER.exists():
-        pytest.skip("no test data")
     folder = str(FOLDER.parent / "sf0.01")
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     scored = QUERIES["op7_quality_classifier"](spark, folder)

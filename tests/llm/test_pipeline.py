@@ -6,7 +6,6 @@ import corpus_pipeline
 from tests.llm.conftest import FOLDER, prose
 
 
-@pytest.mark.skipif(not FOLDER.exists(), reason="no test data")
 @pytest.mark.parametrize("name", SQL)
 def test_queries_against_sql(spark, name):
     connection = duckdb.connect()

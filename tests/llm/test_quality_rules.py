@@ -46,8 +46,6 @@ def shares(counts, words, common):
 
 def test_against_brute_force(spark):
     """Counts, distances and verdicts of the smallest folder, from the definition."""
-    if not FOLDER.exists():
-        pytest.skip("no test data")
     documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
     rows = documents.collect()
     found = {r["doc_id"]: r for r in quality_rules(documents, common=20).collect()}
