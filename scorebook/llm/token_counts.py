@@ -66,13 +66,14 @@ class Vocabulary:
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
-        """From a byte-level BPE ``.json`` or a ``.tiktoken`` rank file."""
+        """From a byte-level BPE ``.json`` or a ``.tiktoken`` rank file; others are refused."""
         if path.endswith(".tiktoken"):
             with open(path, "rb") as file:
                 rows = [line.split() for line in file if line.strip()]
             return cls(pairs_of({base64.b64decode(token): int(rank) for token, rank in rows}))
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
+        refuse_unhandled(spec)
         letters = byte_letters()
         merges: dict[tuple[bytes, bytes], int] = {}
         for rank, merge in enumerate(spec["model"]["merges"]):
@@ -82,6 +83,20 @@ class Vocabulary:
         return cls(merges, tuple(t["content"] for t in spec.get("added_tokens", ())))
 
 
+def refuse_unhandled(spec: dict) -> None:
+    """Raises where a ``.json`` file asks for more than byte-level words and merges, which would
+    otherwise be miscounted."""
+    first, model = spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+    plain = first.get("type") == "ByteLevel" and not first.get("add_prefix_space")
+    odd = ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    asked = [name for name in odd if model.get(name)]
+    strips = any(t.get(k) for t in spec.get("added_tokens", ()) for k in ("single_word", "lstrip", "rstrip"))
+    if spec.get("normalizer") or not plain or not first.get("use_regex", True) or model.get("type") != "BPE":
+        asked.append("normalizer, pre_tokenizer or model type")
+    if asked or strips:
+        raise ValueError(f"not a plain byte-level vocabulary: {', '.join(asked) or 'added tokens'}")
+
+
 def pairs_of(ranks: dict[bytes, int]) -> dict[tuple[bytes, bytes], int]:
     """The merge behind each ranked token: what its bytes become by the merges before it."""
     merges = {}

@@ -71,3 +71,8 @@ def test_odd_rows(odd, odd_rows, empty):
     ]
     assert sorted(map(str, map(tuple, found))) == sorted(map(str, expected))
     assert token_counts(empty, default_vocabulary()).collect() == []
+
+
+def test_other_kinds_of_vocabulary_are_refused():
+    with pytest.raises(ValueError, match="not a plain byte-level vocabulary"):
+        Vocabulary.load(default_vocabulary("word_bpe_49k.json"))
