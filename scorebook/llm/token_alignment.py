@@ -33,10 +33,12 @@ from scorebook.llm.shared import blocks, stored
 
 #: Unicode white space, which the byte-level pattern tells from other characters.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: A word with the one space before it, or a longer stretch of white space with the word that its
-#: last space belongs to. Some pieces end in a carriage return; such a one does not part a chunk.
-_WORD = f"[^{SPACE}]+(?:\r[{SPACE}]*(?:(?<= )[^{SPACE}]+)?)*"
-CHUNK = re.compile(f" {_WORD}|{_WORD}|[{SPACE}]+(?:(?<= ){_WORD})?")
+#: A word with the one space before it, or a longer stretch of white space with the word behind it:
+#: the byte-level pattern gives the stretch's last character a token of its own if a word follows. Only a
+#: single character is the same token in either case. Some pieces end in a carriage return; such a one
+#: does not part a chunk.
+_WORD = f"[^{SPACE}]+(?:\r[{SPACE}]*[^{SPACE}]*)*"
+CHUNK = re.compile(f" {_WORD}|{_WORD}|[{SPACE}](?![{SPACE}])|[{SPACE}]+(?:{_WORD})?")
 #: Chunks that stay what they are in a row of their like.
 PLAIN = re.compile(f" [^{SPACE}]+\\Z")
 #: Text (in characters) and documents worked on at once in a task; texts are never cut.

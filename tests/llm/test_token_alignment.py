@@ -128,6 +128,16 @@ def test_odd_rows_equal_brute_force(spark, make, odd_rows, empty, libraries, lar
     assert align_tokens(empty, *FILES).collect() == []
 
 
+def test_white_space_before_a_word_and_at_the_end(spark, make, libraries):
+    """Runs of it lose their last character to a token of its own where a word follows."""
+    runs = ["\n\n", "\n", "\r\n", "\r\n\r\n", "\r\r", "\n \n", "\xa0\xa0", "\n\xa0", " \u3000", "\t\t", "\x85", " \n\n "]
+    texts = [f"{run}one{run}two.{run}3{run}" for run in runs] + [f"one{run}" for run in runs] + runs
+    texts.append("".join(f"word{run}" for run in runs))
+    rows = [(i, t, "en", "a") for i, t in enumerate(texts)]
+    expected = sorted(((i, *e) for i, e in enumerate(brute_force(libraries, texts))), key=repr)
+    assert figures(align_tokens(make(rows), *FILES)) == expected
+
+
 def test_blocks_of_texts_change_nothing(spark, make, odd_rows, monkeypatch):
     whole = figures(align_tokens(make(odd_rows), *FILES))
     monkeypatch.setattr(token_alignment, "BLOCK", 50)
