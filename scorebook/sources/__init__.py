@@ -14,7 +14,7 @@ from scorebook.sources.tables import (
     write_seasons,
     write_table,
 )
-from scorebook.sources.workspace import new_folder
+from scorebook.sources.workspace import new_folder, shared_folder
 
 __all__ = [
     "ConcurrentRunError",
@@ -27,6 +27,7 @@ __all__ = [
     "read_match_documents",
     "read_table",
     "register_views",
+    "shared_folder",
     "stream_match_documents",
     "write_players",
     "write_seasons",

@@ -4,16 +4,19 @@ import json
 import os
 from datetime import datetime, timezone
 from functools import partial
+from types import SimpleNamespace
 
 import pyarrow.parquet as pq
 import pytest
 from matches import ball, document, innings, rows, write
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from scorebook import operators as ops
 from scorebook import sources
 from scorebook.plans import archive, build, build_arrivals, build_folder
 from scorebook.schema import TABLES, ddl
+from scorebook.sources import workspace
 from scorebook.sources.jobs import run_together
 from scorebook.sources.workspace import require_shared
 
@@ -488,6 +491,42 @@ def test_a_folder_of_one_machine_is_refused_on_a_cluster(spark, tmp_path, monkey
             require_shared(spark, folder)
 
 
+def test_a_mounted_folder_will_do_on_a_standalone_cluster(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    events = [(i, float(i % 7), "click", i % 5, None) for i in range(500)]
+    events = spark.createDataFrame(events, "event_id long, value double, event_type string, user_id long, props string")
+    events.withColumn("ts", F.lit("2024-06-01").cast("timestamp")).write.parquet(f"{tmp_path}/events.parquet")
+    assert queries()["archive_manifest"](spark, str(tmp_path)).count() > 0
+    assert require_shared(spark, f"{tmp_path}/") == str(tmp_path)
+    assert not [name for name in os.listdir(tmp_path) if "seen" in name]
+    monkeypatch.setattr(workspace, "_seen_by_tasks", lambda spark, folder: False)
+    with pytest.raises(ValueError, match="executors"):
+        require_shared(spark, str(tmp_path))
+
+
+@pytest.mark.parametrize(
+    ("named", "context", "master", "expected"),
+    [
+        ("/a", "/b", "local-cluster[2,1,512]", "/a"),
+        (None, "/b", "local-cluster[2,1,512]", "/b"),
+        (None, None, "local-cluster[2,1,512]", "/warehouse"),
+        (None, None, "local[2]", None),
+    ],
+)
+def test_a_session_without_checkpoint_folder_has_its_warehouse(named, context, master, expected):
+    held = {"spark.checkpoint.dir": named, "spark.sql.warehouse.dir": "/warehouse"}
+    session = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default=None: held[key] or default),
+        sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: context),
+    )
+    assert sources.shared_folder(session) == expected
+    if expected:
+        assert sources.new_folder(session, "x").startswith(f"{expected}/x-")
+    else:
+        with pytest.raises(ValueError, match="checkpoint"):
+            sources.new_folder(session, "x")
+
+
 def test_jobs_side_by_side_keep_local_properties(spark):
     context = spark.sparkContext
     context.setLocalProperty("spark.scheduler.pool", "own")
