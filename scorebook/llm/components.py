@@ -14,17 +14,13 @@ def connected_components(links: DataFrame) -> DataFrame:
     Nodes without links to others do not appear. Each round links the larger
     neighbours of every node, then the smaller ones, to the least of them, and
     is written to the shared folder; the number of rounds grows with the
-    logarithm of the longest path. Least neighbours are aggregated before the
-    shuffle and joined back, so that a node with very many links is split.
+    logarithm of the longest path. Rounds end when all links are stars: every
+    node has one lesser neighbour, or none. Least neighbours are aggregated before
+    the shuffle and joined back, so that a node with very many links is split.
     """
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     edges = stored(edges.distinct(), "links")
-    state = None
-    while True:
-        new = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % (1 << 40))).first()
-        if new == state:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        state = new
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         large = (
@@ -41,4 +37,17 @@ def connected_components(links: DataFrame) -> DataFrame:
             ).alias("x")
         ).select("x.u", F.col("x.m").alias("v"))
         edges = stored(small.where("u <> v").distinct(), "small-star")
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether no node of the distinct links (u, lesser v) has two lesser neighbours, or a lesser
+    and a larger one."""
+    ends = (F.struct("u", F.lit(1).alias("n")), F.struct(F.col("v").alias("u"), F.lit(0).alias("n")))
+    nodes = (
+        edges.select(F.explode(F.array(*ends)).alias("x"))
+        .groupBy("x.u")
+        .agg(F.sum("x.n").alias("lesser"), F.min("x.n").alias("least"))
+    )
+    between = (F.col("lesser") > 1) | ((F.col("lesser") == 1) & (F.col("least") == 0))
+    return not nodes.agg(F.max(between)).first()[0]

@@ -245,7 +245,7 @@ def train(
         )
 
     found = map_arrow(rows, run, "id long, label int, x array<double>").toArrow()
-    x = np.array(found.column("x").to_pylist(), float).reshape(-1, len(FEATURES))
+    x = found.column("x").combine_chunks().flatten().to_numpy().reshape(-1, len(FEATURES))
     y = found.column("label").to_numpy().astype(float)
     order = np.lexsort((*x.T, found.column("id").to_numpy()))[: 2 * most_rows]
     return AdditiveModel().fit(x[order], y[order])

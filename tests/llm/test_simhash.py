@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+from scorebook.llm import components as stars
 from scorebook.llm import simhash
 from scorebook.llm.components import connected_components
 from scorebook.llm.simhash import fingerprint, links, one_of_each_group, simhash_groups
@@ -62,6 +63,21 @@ def test_long_chains_are_one_component(spark):
     assert {(row["node"], row["root"]) for row in found} == {(i, 0) for i in range(1, 201)} | {(1001, 1000)}
 
 
+def test_links_that_are_stars_take_no_round(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(stars, "stored", lambda df, label: written.append(label) or df.localCheckpoint())
+    rows = [(1, 0), (2, 0), (0, 2), (8, 7), (9, 7), (4, 4)]
+    found = connected_components(spark.createDataFrame(rows, "a long, b long")).collect()
+    assert sorted(map(tuple, found)) == [(1, 0), (2, 0), (8, 7), (9, 7)]
+    assert written == ["links"]
+    for rows in ([(2, 0), (2, 1)], [(2, 1), (1, 0)], [(5, -3), (9, 5), (9, 8)]):
+        least = min(map(min, rows))
+        found = connected_components(spark.createDataFrame(rows, "a long, b long")).collect()
+        nodes = {n for row in rows for n in row} - {least}
+        assert sorted(map(tuple, found)) == [(n, least) for n in sorted(nodes)]
+    assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
 def test_odd_rows(odd, odd_rows, empty):
     found = simhash_groups(odd).collect()
     prints = np.array([plain_fingerprint(t) for _, t, _, _ in odd_rows], np.uint64)
