@@ -4,8 +4,9 @@ Each text is encoded by both. Token ends are byte offsets, and an offset where
 tokens of both end is a cut. Cuts are found by divide and conquer: probe the
 ends of the one tokenizer around the middle of an interval, look each up among
 those of the other by bisection, part the interval there and go on with both
-halves; an interval without a cut inside is a group. All intervals of a block
-of texts are parted at the same time, level by level.
+halves; an interval without a cut inside is a group. Chunks of a text end with
+tokens of both, so each different chunk is parted once; all intervals of the
+chunks met first together are parted at the same time, level by level.
 
 Which ids are linked in how many documents is counted over the corpus. A block
 writes its linked id pairs by bucket of the first id, with the documents that
@@ -19,9 +20,10 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +46,7 @@ PLAIN = re.compile(f" [^{SPACE}]+\\Z")
 #: Text (in characters) and documents worked on at once in a task; texts are never cut.
 BLOCK, BLOCK_DOCUMENTS = 1 << 20, 60_000
 #: Chunks handed to a tokenizer at once.
-AT_ONCE = 20_000
+AT_ONCE = 4_000
 #: Chunks, and characters of them, whose tokens a worker remembers.
 KEPT, KEPT_CHARACTERS = 400_000, 1 << 24
 #: Groups with more links than this are counted by distinct ids.
@@ -125,18 +127,48 @@ class Pieces:
 
 @dataclass
 class Tokens:
-    """The tokens of a block of texts, one after the other: ids, ends, and where each text starts."""
+    """The tokens of a block of texts, one after the other, where each text starts, and their groups' first tokens."""
 
     a: np.ndarray
     b: np.ndarray
-    a_end: np.ndarray
-    b_end: np.ndarray
     a_from: np.ndarray
     b_from: np.ndarray
+    a_at: np.ndarray
+    b_at: np.ndarray
+    groups_from: np.ndarray
+
+
+def _within(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers ``first``, ``first`` + 1, ... of runs of the given sizes, end to end."""
+    before = np.cumsum(size) - size
+    return np.repeat(first - before, size) + np.arange(size.sum())
+
+
+class Runs:
+    """Runs of values by number."""
+
+    def __init__(self):
+        self.values = np.zeros(0, np.int32)
+        self.first, self.size = np.zeros((2, 0), np.int64)
+
+    def add(self, values: np.ndarray, size: np.ndarray, place: np.ndarray) -> None:
+        """Further runs, end to end; the i-th gets the ``place[i]``-th of the new numbers."""
+        first = np.empty((2, len(size)), np.int64)
+        first[:, place] = len(self.values) + np.cumsum(size) - size, size
+        self.values = np.concatenate([self.values, values.astype(np.int32)])
+        self.first, self.size = (np.concatenate(x) for x in ((self.first, first[0]), (self.size, first[1])))
+
+    def of(self, at: np.ndarray) -> np.ndarray:
+        return self.values[_within(self.first[at], self.size[at])]
+
+    def keep(self, at: np.ndarray) -> None:
+        """The runs ``at`` alone, numbered anew."""
+        self.values, self.size = self.of(at), self.size[at]
+        self.first = np.cumsum(self.size) - self.size
 
 
 class Encoder:
-    """Both tokenizers, with the tokens of chunks seen before.
+    """Both tokenizers, with the tokens and groups of chunks seen before.
 
     Where neither tokenizer's tokens reach beyond a chunk, each different chunk is
     encoded once; otherwise a text is one chunk.
@@ -146,60 +178,98 @@ class Encoder:
         self.sides = (BytePairs(first), Pieces(second))
         self.by_chunk = all(side.by_chunk for side in self.sides)
         self.lengths = [np.array([len(b) for b in side.bytes], np.int64) for side in self.sides]
-        self.forget()
-
-    def forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.characters = 0
         self.good = np.zeros(0, bool)
-        self.ids = [np.zeros(0, np.int32) for _ in self.sides]
-        self.starts = [np.zeros(1, np.int64) for _ in self.sides]
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Words with their space are encoded as one text and told apart by their bytes, others one by one."""
-        words = [c for c in chunks if self.by_chunk and PLAIN.match(c)]
-        others = [c for c in chunks if not (self.by_chunk and PLAIN.match(c))]
+        self.uses = np.zeros(0, np.int64)
+        self.ids, self.groups = (Runs(), Runs()), (Runs(), Runs())
+        self._numbered([])
+
+    def _numbered(self, chunks: list[str]) -> None:
+        """Chunks get numbers in turn; one that is looked up for the first time gets the next."""
+        self.number = defaultdict(None, zip(chunks, range(len(chunks)), strict=True))
+        self.number.default_factory = self.number.__len__
+        self.characters = sum(map(len, chunks))
+
+    def _forget(self) -> None:
+        """Goes on with the chunks used most among those used again: at most half of what may be kept."""
+        chunks = list(self.number)
+        most = np.argsort(-self.uses, kind="stable")[: KEPT // 2]
+        most = most[self.uses[most] > 1]
+        length = np.array([len(chunks[i]) for i in most.tolist()], np.int64)
+        most = most[np.cumsum(length) <= KEPT_CHARACTERS // 2]
+        self.good, self.uses = self.good[most], self.uses[most] >> 1
+        for runs in (*self.ids, *self.groups):
+            runs.keep(most)
+        self._numbered([chunks[i] for i in most.tolist()])
+
+    def _learn(self, known: int) -> None:
+        """Encodes the chunks numbered ``known`` and up. Words with their space are encoded as one text
+        and told apart by their bytes, others one by one."""
+        words, others = [], []
+        for chunk in sorted(islice(self.number, known, None)):
+            (words if self.by_chunk and PLAIN.match(chunk) else others).append(chunk)
+        found = []
         for run, part in ((True, words), (False, others)):
             for low in range(0, len(part), AT_ONCE):
-                self._add(part[low : low + AT_ONCE], run)
+                found.append(self._encoded(part[low : low + AT_ONCE], run))
+        if not found:
+            return
+        chunks = words + others
+        place = np.array([self.number[c] for c in chunks], np.int64) - known
+        good, *lists = (np.concatenate(x) for x in zip(*found, strict=True))
+        a, n_a, b, n_b, a_at, b_at, n_groups = lists
+        for runs, values, size in zip(
+            (*self.ids, *self.groups), (a, b, a_at, b_at), (n_a, n_b, n_groups, n_groups), strict=True
+        ):
+            runs.add(values, size, place)
+        fresh = np.empty(len(good), bool)
+        fresh[place] = good
+        self.good = np.concatenate([self.good, fresh])
+        self.uses = np.concatenate([self.uses, np.zeros(len(good), np.int64)])
+        self.characters += sum(map(len, chunks))
 
-    def _add(self, chunks: list[str], as_text: bool) -> None:
+    def _encoded(self, chunks: list[str], as_text: bool) -> tuple[np.ndarray, ...]:
+        """Which chunks both restore; ids and their number by chunk, of a and of b; the groups' first tokens
+        within their chunk, of a and of b, and the number of groups by chunk. Chunks not restored have none."""
         raw = [c.encode() for c in chunks]
-        bounds = np.cumsum([len(r) for r in raw])
         good = np.ones(len(chunks), bool)
-        found = []
-        for side, length in zip(self.sides, self.lengths, strict=True):
-            if as_text:
+        sides = []
+        if as_text:
+            bounds, whole = np.cumsum(list(map(len, raw))), b"".join(raw)
+            for side, length in zip(self.sides, self.lengths, strict=True):
                 ids = side.encode(["".join(chunks)], False)[0]
                 flat = np.array(ids, np.int32)
                 ends = np.cumsum(length[flat])
                 last = np.minimum(np.searchsorted(ends, bounds), len(ends) - 1)
-                whole = b"".join([side.bytes[t] for t in ids]) == b"".join(raw)
-                if not whole or (ends[last] != bounds).any():
-                    return self._add(chunks, False)
-                found.append((flat, last + 1))
-            else:
-                lists = side.encode(chunks, self.by_chunk)
-                good &= [b"".join([side.bytes[t] for t in ids]) == r for ids, r in zip(lists, raw, strict=True)]
-                flat = np.array(list(chain.from_iterable(lists)), np.int32)
-                found.append((flat, np.cumsum(list(map(len, lists)))))
-        for k, (flat, ends) in enumerate(found):
-            self.starts[k] = np.concatenate([self.starts[k], len(self.ids[k]) + ends])
-            self.ids[k] = np.concatenate([self.ids[k], flat])
-        self.good = np.concatenate([self.good, good])
-        self.number.update(zip(chunks, range(len(self.number), len(self.number) + len(chunks)), strict=True))
-        self.characters += sum(map(len, chunks))
+                if b"".join(map(side.bytes.__getitem__, ids)) != whole or (ends[last] != bounds).any():
+                    return self._encoded(chunks, False)
+                sides.append((flat, ends, np.r_[0, last + 1]))
+        else:
+            lists = [side.encode(chunks, self.by_chunk) for side in self.sides]
+            for side, found in zip(self.sides, lists, strict=True):
+                restored = (b"".join(map(side.bytes.__getitem__, ids)) for ids in found)
+                good &= [text == r for text, r in zip(restored, raw, strict=True)]
+            for found, length in zip(lists, self.lengths, strict=True):
+                found = [ids if ok else [] for ids, ok in zip(found, good.tolist(), strict=True)]
+                flat = np.array(list(chain.from_iterable(found)), np.int32)
+                sides.append((flat, np.cumsum(length[flat]), np.r_[0, np.cumsum(list(map(len, found)))]))
+        (a, a_end, a_from), (b, b_end, b_from) = sides
+        a_at, b_at = group_starts(a_end, b_end, a_from, b_from)
+        of = np.searchsorted(a_from, a_at, "right") - 1
+        n_groups = np.bincount(of, minlength=len(chunks))
+        return good, a, np.diff(a_from), b, np.diff(b_from), a_at - a_from[of], b_at - b_from[of], n_groups
 
     def encode(self, texts: list[str | None]) -> Tokens:
         """Of the texts in turn; those that are null, empty or not restored by both have no tokens."""
         if len(self.number) > KEPT or self.characters > KEPT_CHARACTERS:
-            self.forget()
+            self._forget()
+        known = len(self.number)
         split = CHUNK.findall if self.by_chunk else lambda text: [text]
-        chunks = [split(" " + text) if text else [] for text in texts]
-        seen = set().union(*chunks)
-        self._learn(sorted(seen - self.number.keys()))
-        at = np.array(list(map(self.number.__getitem__, chain.from_iterable(chunks))), np.int64)
-        sizes = np.array(list(map(len, chunks)), np.int64)
+        chunks = (split(" " + text) if text else [] for text in texts)
+        found = [np.fromiter(map(self.number.__getitem__, part), np.int64, len(part)) for part in chunks]
+        sizes = np.array(list(map(len, found)), np.int64)
+        at = np.concatenate(found)
+        self._learn(known)
+        self.uses += np.bincount(at, minlength=len(self.uses))
         good = self.good[at]
         if not good.all():
             text = np.repeat(np.arange(len(texts)), sizes)
@@ -207,20 +277,20 @@ class Encoder:
             at = at[~spoilt[text]]
             sizes[spoilt] = 0
         chunks_from = np.r_[0, np.cumsum(sizes)]
-        out = []
-        for ids, starts, length in zip(self.ids, self.starts, self.lengths, strict=True):
-            first, size = starts[at], np.diff(starts)[at]
-            before = np.r_[0, np.cumsum(size)]
-            picked = ids[np.repeat(first - before[:-1], size) + np.arange(before[-1])]
-            out.append((picked, np.cumsum(length[picked]), before[chunks_from]))
-        (a, a_end, a_from), (b, b_end, b_from) = out
-        return Tokens(a, b, a_end, b_end, a_from, b_from)
+        tokens, first, starts = [], [], []
+        for ids, groups in zip(self.ids, self.groups, strict=True):
+            before = np.r_[0, np.cumsum(ids.size[at])]
+            tokens.append(ids.of(at))
+            first.append(groups.of(at) + np.repeat(before[:-1], groups.size[at]))
+            starts.append(before[chunks_from])
+        n_groups = np.r_[0, np.cumsum(self.groups[0].size[at])]
+        return Tokens(*tokens, *starts, *first, n_groups[chunks_from])
 
 
 def group_starts(a_end: np.ndarray, b_end: np.ndarray, a_from: np.ndarray, b_from: np.ndarray):
     """First tokens (of a, of b) of all groups, in order.
 
-    ``a_from`` and ``b_from`` bound the texts, whose last tokens end together.
+    ``a_from`` and ``b_from`` bound the chunks, whose last tokens end together.
     An interval runs from one cut to another. Its inner ends are probed outwards
     from the middle, for all intervals at once; where one is an end of the other
     tokenizer too, the interval is parted there.
@@ -266,27 +336,27 @@ class Aligned:
 
     def __init__(self, tokens: Tokens, sizes: tuple[int, int]):
         self.tokens, self.sizes = tokens, sizes
-        self.a_at, self.b_at = group_starts(tokens.a_end, tokens.b_end, tokens.a_from, tokens.b_from)
+        self.a_at, self.b_at = tokens.a_at, tokens.b_at
         self.a_next = np.r_[self.a_at[1:], len(tokens.a)] if len(self.a_at) else self.a_at
         self.b_next = np.r_[self.b_at[1:], len(tokens.b)] if len(self.b_at) else self.b_at
-        self.document = np.searchsorted(tokens.a_from, self.a_at, "right") - 1
+        n_groups = np.diff(tokens.groups_from)
+        self.document = np.repeat(np.arange(len(n_groups)), n_groups)
         self.links = (self.a_next - self.a_at) * (self.b_next - self.b_at)
 
     def figures(self) -> dict[str, np.ndarray]:
-        documents = len(self.tokens.a_from) - 1
-        links = np.zeros(documents, np.int64)
-        np.add.at(links, self.document, self.links)
+        links = np.r_[0, np.cumsum(self.links)]
         return {
             "n_a": np.diff(self.tokens.a_from),
             "n_b": np.diff(self.tokens.b_from),
-            "n_groups": np.bincount(self.document, minlength=documents),
-            "n_links": links,
+            "n_groups": np.diff(self.tokens.groups_from),
+            "n_links": np.diff(links[self.tokens.groups_from]),
         }
 
-    def digests(self, spelt: list[str]) -> Iterator[str]:
+    def digests(self, spelt: np.ndarray) -> Iterator[str]:
         """SHA-256 of each text's groups; '' without tokens.
 
-        ``spelt`` has, for both tokenizers' ids, the id with the mark inside and at the end of a group.
+        ``spelt`` has, for both tokenizers' ids, the id with the mark inside and at the end of a group,
+        as bytes of one width, filled up with zeros.
         """
         tokens, (a_size, b_size) = self.tokens, self.sizes
         code = np.zeros(len(tokens.a) + len(tokens.b), np.int64)
@@ -300,8 +370,8 @@ class Aligned:
         )
         bounds = (tokens.a_from + tokens.b_from).tolist()
         for low, high in zip(bounds, bounds[1:], strict=False):
-            text = "".join([spelt[c] for c in code[low:high].tolist()])
-            yield hashlib.sha256(text[:-1].encode()).hexdigest() if text else ""
+            text = spelt[code[low:high]].tobytes().translate(None, b"\0")
+            yield hashlib.sha256(text[:-1]).hexdigest() if text else ""
 
     def pairs(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Sorted keys of (id pair, document), each once, and how many links each stands for.
@@ -371,6 +441,7 @@ def _align(documents: DataFrame, first: bytes, second: bytes, buckets: int, id_c
         encoder = Encoder(*held.value)
         sizes = tuple(side.size for side in encoder.sides)
         spelt = [f"{i}{mark}" for n, marks in zip(sizes, (",|", ",;"), strict=True) for mark in marks for i in range(n)]
+        spelt = np.array(spelt, f"S{max(8, *map(len, spelt))}")
         block = TaskContext.get().partitionId() << 32
 
         def filled(n: int, **columns) -> pa.RecordBatch:

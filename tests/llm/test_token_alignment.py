@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from scorebook.llm import token_alignment
 from scorebook.llm.queries import QUERIES
-from scorebook.llm.token_alignment import align_tokens, group_starts
+from scorebook.llm.token_alignment import Aligned, Encoder, align_tokens, group_starts
 from tests.llm.conftest import FOLDER
 
 FILES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -146,6 +146,45 @@ def test_blocks_of_texts_change_nothing(spark, make, odd_rows, monkeypatch):
     assert figures(align_tokens(make(odd_rows), *FILES, buckets=1)) == whole
 
 
+@pytest.fixture
+def encoder():
+    files = []
+    for name in FILES:
+        with open(name, "rb") as file:
+            files.append(file.read())
+    return Encoder(*files)
+
+
+def test_a_repeated_chunk_is_parted_once(encoder, monkeypatch):
+    """Groups of a chunk are remembered with its tokens, not looked for in every text that has it."""
+    handed = []
+
+    def counted(a_end, *others):
+        handed.append(len(a_end))
+        return group_starts(a_end, *others)
+
+    monkeypatch.setattr(token_alignment, "group_starts", counted)
+    sizes = tuple(side.size for side in encoder.sides)
+    text = "ungauschzuach Thanesea, tokenizers misaligned\n\nhere"
+    once = Aligned(encoder.encode([text]), sizes)
+    many = Aligned(encoder.encode([text, None, *[text] * 50]), sizes)
+    assert sum(handed) == len(once.tokens.a)
+    assert len(many.a_at) == 51 * len(once.a_at) > 51
+    assert many.figures()["n_links"].tolist() == [once.links.sum(), 0, *[once.links.sum()] * 50]
+
+
+def test_chunks_used_again_outlive_those_used_once(encoder, monkeypatch):
+    monkeypatch.setattr(token_alignment, "KEPT", 8)
+    encoder.encode(["common words"] * 3)
+    encoder.encode([" ".join(f"rare{c}" for c in "abcdefgh")])
+    encoder.encode(["x"])
+    assert " common" in encoder.number and " words" in encoder.number
+    assert " rarea" not in encoder.number
+    tokens = encoder.encode(["words rareb common"])
+    for side, ids in zip(encoder.sides, (tokens.a, tokens.b), strict=True):
+        assert b"".join(side.bytes[i] for i in ids) == b" words rareb common"
+
+
 def test_query_equals_brute_force_on_the_whole_table(spark, libraries):
     table = pq.read_table(f"{FOLDER}/documents.parquet", columns=["doc_id", "text"])
     ids, texts = (table.column(c).to_pylist() for c in ("doc_id", "text"))
