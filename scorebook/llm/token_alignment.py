@@ -23,7 +23,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, islice
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -185,13 +185,13 @@ class Encoder:
 
     def _numbered(self, chunks: list[str]) -> None:
         """Chunks get numbers in turn; one that is looked up for the first time gets the next."""
-        self.number = defaultdict(None, zip(chunks, range(len(chunks)), strict=True))
-        self.number.default_factory = self.number.__len__
+        self.number = defaultdict(count(len(chunks)).__next__, zip(chunks, range(len(chunks)), strict=True))
         self.characters = sum(map(len, chunks))
 
     def _forget(self) -> None:
         """Goes on with the chunks used most among those used again: at most half of what may be kept."""
         chunks = list(self.number)
+        self.number.clear()
         most = np.argsort(-self.uses, kind="stable")[: KEPT // 2]
         most = most[self.uses[most] > 1]
         length = np.array([len(chunks[i]) for i in most.tolist()], np.int64)
